@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordB
     n = batch.num_rows
     if not n:
         return
-    lens = np.asarray(pa.compute.fill_null(pa.compute.binary_length(arr), 0), dtype=np.int64)
+    lens = np.asarray(pc.fill_null(pc.binary_length(arr), 0), dtype=np.int64)
     ends = np.cumsum(lens)
     at = 0
     while at < n:
