@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercell.llm import bpe, chat, decontaminate, licenses, telephony
+from hypercell.llm import bpe, chat, decontaminate, licenses, linededup, neardup, quality, telephony, toxicity
+from hypercell.llm.labelled import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,52 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup(_table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", (F.size(F.split(text, "\n")) + F.col("lines_dropped")).cast("long").alias("lines"), "lines_dropped", F.sha2(text, 256).alias("text_sha256"))
+
+
+_FIELDS = f"list_transform(regexp_extract_all(l, '[^ \\t\\r\\f\\v]+'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{linededup.FIELD}' ELSE t END)"
+OP3_SQL = f"""
+WITH raw AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+parsed AS (SELECT doc_id, i, {_FIELDS} AS t FROM raw),
+leaves AS (SELECT doc_id, i, t, len(t) || ' ' || array_to_string(t[1:{linededup.DEPTH}], ' ') AS leaf FROM parsed WHERE len(t) >= {linededup.MIN_TOKENS}),
+placed AS (SELECT doc_id, i, leaf, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM leaves),
+stays AS (SELECT leaf, place, token FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
+fields AS (SELECT doc_id, i, p.place, CASE WHEN s.token IS NULL THEN '{linededup.FIELD}' ELSE p.token END AS f FROM placed p LEFT JOIN stays s ON p.leaf = s.leaf AND p.place = s.place AND p.token = s.token),
+made AS (SELECT doc_id, i, string_agg(f, ' ' ORDER BY place) AS template FROM fields GROUP BY doc_id, i HAVING 100 * count(*) FILTER (f <> '{linededup.FIELD}') >= {linededup.CONSTANT} * count(*)),
+counted AS (SELECT template, min(doc_id) AS first FROM made GROUP BY template HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
+gone AS (SELECT doc_id, i FROM made JOIN counted USING (template) WHERE doc_id <> first)
+SELECT raw.doc_id, count(*) AS lines, count(gone.i) AS lines_dropped, sha256(coalesce(string_agg(l, chr(10) ORDER BY raw.i) FILTER (gone.i IS NULL), '')) AS text_sha256
+FROM raw LEFT JOIN gone ON raw.doc_id = gone.doc_id AND raw.i = gone.i GROUP BY raw.doc_id"""
+
+
+#: Folds by CRC-32 of the id, and the one that no label is learned from.
+QUALITY_FOLDS, QUALITY_HELD_OUT = 4, 2
+TOXIC_FOLDS, TOXIC_HELD_OUT = 5, 0
+
+
+def _scored(scores: DataFrame, folds: int, held_out: int, cut: float) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(fold("doc_id", folds) == held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), folds=QUALITY_FOLDS, held_out=QUALITY_HELD_OUT)
+    return _scored(quality.score(docs, model), QUALITY_FOLDS, QUALITY_HELD_OUT, quality.CUT)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), folds=TOXIC_FOLDS, held_out=TOXIC_HELD_OUT)
+    return _scored(toxicity.score(docs, model), TOXIC_FOLDS, TOXIC_HELD_OUT, 0.5)
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(_table(spark, sf_dir, "documents"))
+
+
 _CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]")
 _LONGER = "(length({0}) - length(replace({0}, '\\', '')))" + "".join(f" + (length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in _CONTROL)
 OP5_SQL = f"""
@@ -117,11 +164,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_decontaminate": op2_decontaminate,
+        "op3_line_dedup": op3_line_dedup,
+        "op4_quality": op4_quality,
         "op5_chat": op5_chat,
         "op6_licenses": op6_licenses,
+        "op8_toxicity": op8_toxicity,
+        "op9_near_dedup": op9_near_dedup,
         "op10_telephony": op10_telephony,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op5_chat": OP5_SQL, "op6_licenses": _op6_sql()}
+    return {"op2_decontaminate": OP2_SQL, "op3_line_dedup": OP3_SQL, "op5_chat": OP5_SQL, "op6_licenses": _op6_sql()}
