@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -41,6 +42,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path under ``spark.checkpoint.dir``, which all machines share; under a local one only where that is unset."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hypercell-")
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, as ``id`` and ``text``; a null text counts as empty. Other columns cannot clash."""
     return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercell.llm import bpe, chat, decontaminate, licenses, linededup, neardup, quality, telephony, toxicity
+from hypercell.llm import bpe, chat, decontaminate, idfiles, licenses, linededup, neardup, quality, telephony, toxicity
+from hypercell.llm.common import scratch
 from hypercell.llm.labelled import fold
 
 
@@ -102,6 +103,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), QUALITY_FOLDS, QUALITY_HELD_OUT, quality.CUT)
 
 
+def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch(spark, "ids")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        idfiles.write(_table(spark, sf_dir, "documents"), path, f.read(), public_tokenizers.PATTERN, end_id=0)
+    return idfiles.read(spark, path, keep_ids=False).select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), folds=TOXIC_FOLDS, held_out=TOXIC_HELD_OUT)
@@ -168,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op5_chat": op5_chat,
         "op6_licenses": op6_licenses,
+        "op7_id_files": op7_id_files,
         "op8_toxicity": op8_toxicity,
         "op9_near_dedup": op9_near_dedup,
         "op10_telephony": op10_telephony,
