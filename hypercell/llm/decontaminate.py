@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hypercell.llm.common import chunks, id_text, ship
+from hypercell.llm.common import chunks, ship
 
 #: Words of a window.
 WINDOW = 13
@@ -105,29 +106,43 @@ def shards(bench: DataFrame, id_col: str, text_cols: Sequence[str], size: int =
         yield part
 
 
-def scan(df: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_cols: Sequence[str] = ("text",), window: int = WINDOW) -> DataFrame:
+def scan(df: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_cols: Sequence[str] = ("text",), window: int = WINDOW, carry: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, ``n_words``, ``n_hit`` (words inside an occurring window), ``spans`` (code point
     offsets of the hit runs in the original text), ``items`` (sorted ids of the items whose windows occur) and ``contaminated``.
 
     A window is ``window`` consecutive words of one benchmark text, or all words of a shorter text. Null and empty texts have
     no words and no hits; benchmark rows without id, text or words are left out; repeated rows on either side change nothing
-    but the number of rows; an empty benchmark hits nothing. Other columns are left out and cannot clash.
+    but the number of rows; an empty benchmark hits nothing. Other columns are left out and cannot clash; with ``carry`` the
+    whole input row comes along as the struct ``row``.
     """
     spark = df.sparkSession
     ship(spark)
     state = "array<struct<first:long,last:long>>"
-    out = id_text(df, id_col, text_col).select("id", "text", F.lit(None).cast(state).alias("runs"), F.lit(None).cast("array<long>").alias("items"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
+    out = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.lit(None).cast(state).alias("runs"), F.lit(None).cast("array<long>").alias("items"), *row)
+    carried = out.schema.fields[4:]
+    kinds = lambda ddl: T.StructType([*T.StructType.fromDDL(ddl).fields, *carried])
     parts = shards(bench, item_col, bench_cols)
     now = next(parts, [])
     while now is not None:
         after = next(parts, None)
         shared = spark.sparkContext.broadcast(now)
         last = after is None
-        out = out.mapInArrow(_scanner(shared, window, last), f"id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<long>, contaminated boolean" if last else f"id long, text string, runs {state}, items array<long>")
+        out = out.mapInArrow(_scanner(shared, window, last), kinds("id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<long>, contaminated boolean" if last else f"id long, text string, runs {state}, items array<long>"))
         now = after
     return out.withColumnRenamed("id", id_col)
 
 
+def clean(df: DataFrame, bench: DataFrame, text_col: str = "text", **how) -> DataFrame:
+    """The input's rows and columns without contaminated rows; needs no id. Nulls and ties as in ``scan``."""
+    found = scan(df.withColumn(_NO_ID, F.lit(None).cast("long")), bench, id_col=_NO_ID, text_col=text_col, carry=True, **how)
+    return found.where(~F.col("contaminated")).select(*[F.col("row").getField(c).alias(c) for c in df.columns])
+
+
+_NO_ID = "hypercell no id"
+
+
 def _scanner(shared, window: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(shared.value, window)
@@ -143,11 +158,11 @@ def _scanner(shared, window: int, last: bool):
                 items = pa.array([r[2] for r in rows], pa.list_(pa.int64()))
                 if not last:
                     kept = pa.array([[{"first": a, "last": b} for a, b in r[1]] for r in rows], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), kept, items], ["id", "text", "runs", "items"])
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), kept, items, *part.columns[4:]], ["id", "text", "runs", "items", *part.schema.names[4:]])
                     continue
                 hit = [sum(b - a for a, b in r[1]) for r in rows]
                 place = pa.array([[{"start": a, "end": b} for a, b in spans(t, r[1])] if r[1] else [] for t, r in zip(texts, rows, strict=True)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
                 bad = [h > 0 and SHARE * h >= r[0] for h, r in zip(hit, rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array(hit, pa.int64()), place, items, pa.array(bad, pa.bool_())], ["id", "n_words", "n_hit", "spans", "items", "contaminated"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array(hit, pa.int64()), place, items, pa.array(bad, pa.bool_()), *part.columns[4:]], ["id", "n_words", "n_hit", "spans", "items", "contaminated", *part.schema.names[4:]])
 
     return run
