@@ -56,19 +56,27 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Wanted lines as masked tokens joined by spaces, and the places whose token is new in its document's lines of the leaf
+    (null: all of them)."""
     for batch in batches:
         for part in chunks(batch, 2, 4 << 20):
-            ids, hashes, lines, keys, found = [], [], [], [], []
+            ids, hashes, lines, keys, found, fresh = [], [], [], [], [], []
             for i, h, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 split = text.split("\n")
+                seen: dict[int, set[tuple[int, str]]] = {}
                 for k in wanted:
                     t = tokens(split[k])
+                    key = leaf(t)
+                    now = set(enumerate(t))
+                    before = seen.get(key)
+                    fresh.append(None if before is None else [p for p, _ in now - before])
+                    seen[key] = now if before is None else before | now
                     ids.append(i)
                     hashes.append(h)
                     lines.append(k)
-                    keys.append(leaf(t))
-                    found.append(t)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.string()))], ["id", "h", "line", "leaf", "tokens"])
+                    keys.append(key)
+                    found.append(" ".join(t))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(found, pa.string()), pa.array(fresh, pa.list_(pa.int32()))], ["id", "h", "line", "leaf", "masked", "fresh"])
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,21 +87,23 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The lines to drop: ``id``, ``h`` (hash of the text they stand in), ``line`` (from 0) and ``template``.
 
-    Documents are counted by id, so repeated rows count once. A template's lines stay in the document of the smallest id.
+    Documents of a template are counted by id, so repeated rows count once; its lines stay in the document of the smallest id.
     """
     ship(df.sparkSession)
     texts = _keyed(df, id_col, text_col)
     lines = durable(texts.mapInArrow(_leaves, "id long, h long, line int, leaf long"))
     # Lines of a leaf are at least as many as its documents; what this lets through is counted again below.
-    often = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+    often = durable(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf"))
     wanted = lines.join(often, "leaf").groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
-    found = durable(texts.join(wanted, ["id", "h"]).select("id", "h", "text", "lines").mapInArrow(_tokens, "id long, h long, line int, leaf long, tokens array<string>"))
-
-    placed = found.select("leaf", "id", F.posexplode("tokens").alias("place", "token"))
-    stays = placed.distinct().groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    stays = stays.groupBy("leaf").agg(F.collect_set(F.struct("place", "token")).alias("stays"))
-    fields = F.transform("tokens", lambda t, i: F.when(F.array_contains("stays", F.struct(i.alias("place"), t.alias("token"))), t).otherwise(FIELD))
-    made = found.join(stays, "leaf").select("id", "h", "line", fields.alias("fields"))
+    found = texts.join(wanted, ["id", "h"]).select("id", "h", "text", "lines")
+    found = durable(found.mapInArrow(_tokens, "id long, h long, line int, leaf long, masked string, fresh array<int>"))
+
+    placed = found.select("leaf", "fresh", F.posexplode(F.split("masked", " ")).alias("place", "token")).where(F.col("fresh").isNull() | F.array_contains("fresh", F.col("place")))
+    stays = placed.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+    slots = stays.groupBy("leaf", "place").agg(F.collect_list("token").alias("tokens")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "tokens"))).alias("at"), F.max("place").alias("last"))
+    slots = durable(slots.select("leaf", F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at("at", i)).alias("slots")))
+    fields = F.transform(F.split("masked", " "), lambda t, i: F.when(F.array_contains(F.get("slots", i), t), t).otherwise(FIELD))
+    made = found.join(slots, "leaf").select("id", "h", "line", fields.alias("fields"))
     made = made.where(100 * F.size(F.filter("fields", lambda t: t != FIELD)) >= CONSTANT * F.size("fields"))
     made = durable(made.select("id", "h", "line", F.array_join("fields", " ").alias("template")))
     counted = made.select("template", "id").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= MIN_DOCS)
