@@ -6,10 +6,301 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hypercell.functions import ndexpr as N
+from hypercell.functions.selection import normalise
+from hypercell.operators import export, merge
+from hypercell.operators.rows import POS, runs
+from hypercell.operators.table import Table
+from hypercell.sources import descriptor as D
+from hypercell.sources.descriptor import ROW
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
+#: Columns of the tables that number their rows from 0.
+ROW_OF = {"orders": "o_orderkey", "events": "event_id", "embeddings": "vec_id", "customer": "c_custkey", "documents": "doc_id"}
+
+
+def register(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, desc: dict | None = None) -> Table:
+    df = _read(spark, sf_dir, name)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    df = df.select(*plain)
+    row = ROW_OF[name]
+    return Table(spark, df.withColumn(ROW, F.col(row).cast("long")), desc or D.of_schema(df.schema))
+
+
+# -- scans -------------------------------------------------------------------------------------------------------------
+
+
+@register("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem")
+def scan_all(spark, sf_dir):
+    return _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("SELECT o_orderkey, o_totalprice FROM orders")
+def scan_project(spark, sf_dir):
+    return _table(spark, sf_dir, "orders").select(columns=["o_orderkey", "o_totalprice"]).select("o_orderkey", "o_totalprice")
+
+
+@register('SELECT c_custkey AS "row", c_name, c_custkey - 10 AS pos FROM customer WHERE c_custkey BETWEEN 10 AND 19')
+def row_slice(spark, sf_dir):
+    got = _table(spark, sf_dir, "customer").select([slice(10, 20)], ["c_name"])
+    return got.select(F.col(ROW).alias("row"), "c_name", F.col(POS).alias("pos"))
+
+
+_WANTED = [97, 3, 55, 4, 0, 141]
+
+
+@register(f"SELECT p.pos, o_orderkey, o_totalprice FROM orders JOIN (VALUES {', '.join(f'({r}, {i})' for i, r in enumerate(_WANTED))}) p(k, pos) ON o_orderkey = p.k")
+def row_gather_order(spark, sf_dir):
+    got = _table(spark, sf_dir, "orders").select([_WANTED], ["o_orderkey", "o_totalprice"])
+    return got.select(F.col(POS).cast("int").alias("pos"), "o_orderkey", "o_totalprice")
+
+
+@register("SELECT CAST(count(*) AS BIGINT) AS n_rows, 5 AS n_columns FROM customer")
+def row_count(spark, sf_dir):
+    t = _table(spark, sf_dir, "customer")
+    return t.df.agg(F.count("*").alias("n_rows"), F.lit(min(5, t.ncolumns())).alias("n_columns"))
+
+
+@register()
+def describe(spark, sf_dir):
+    return _table(spark, sf_dir, "embeddings").describe()
+
+
+# -- cells -------------------------------------------------------------------------------------------------------------
+
+_EMBEDDING = D.column("float", shape=[64])
+
+
+def _vectors(spark, sf_dir) -> Table:
+    return _table(spark, sf_dir, "embeddings", {"vec_id": D.column("int64"), "label": D.column("int"), "embedding": _EMBEDDING, **{k: {} for k in D.TABLE_KEYS}})
+
+
+@register("""
+SELECT r.pos, c.i, CAST(CASE WHEN r.k < 0 OR c.k < 0 THEN -10 ELSE e.embedding[c.k + 1] END AS DOUBLE) AS v
+FROM (VALUES (0, 4), (1, -1), (2, 2), (3, 0)) r(pos, k) CROSS JOIN (VALUES (0, 63), (1, 0), (2, -1), (3, 5)) c(i, k) LEFT JOIN embeddings e ON e.vec_id = r.k""")
+def nd_gather_fill(spark, sf_dir):
+    got = _vectors(spark, sf_dir).cells("embedding", ([4, -1, 2, 0], [63, 0, -1, 5]), fill=-10)
+    cell = F.coalesce("cell", N.filled([F.lit(4)], -10, T.FloatType()))
+    return got.select(F.col(POS).cast("int").alias("pos"), F.posexplode(cell).alias("i", "x")).select("pos", "i", F.col("x").cast("double").alias("v"))
+
+
+@register("SELECT vec_id, CAST(len(embedding[17:48]) AS BIGINT) AS n, list_sum(list_transform(embedding[17:48], lambda x: CAST(x AS DOUBLE))) AS total FROM embeddings")
+def cell_slice(spark, sf_dir):
+    got = _vectors(spark, sf_dir).cells("embedding", (None, slice(16, 48)))
+    total = F.aggregate(F.transform("cell", lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    return got.select(F.col(ROW).alias("vec_id"), F.size("cell").cast("long").alias("n"), total.alias("total"))
+
+
+@register("SELECT vec_id, i, CAST(embedding[k + 1] AS DOUBLE) AS v FROM embeddings CROSS JOIN (VALUES (0, 9), (1, 2), (2, 40)) c(i, k)")
+def cell_gather(spark, sf_dir):
+    got = _vectors(spark, sf_dir).cells("embedding", (None, [9, 2, 40]))
+    return got.select(F.col(ROW).alias("vec_id"), F.posexplode("cell").alias("i", "x")).select("vec_id", "i", F.col("x").cast("double").alias("v"))
+
+
+@register("SELECT vec_id, a, b, CAST(embedding[a * 8 + b + 1] AS DOUBLE) AS v FROM embeddings CROSS JOIN (SELECT unnest(range(3)) AS a) CROSS JOIN (SELECT unnest(range(2)) AS b)")
+def cell_corner(spark, sf_dir):
+    got = _vectors(spark, sf_dir).df.select("vec_id", N.corner(N.reshape(F.col("embedding"), [8, 8]), [3, 2]).alias("cell"))
+    rows = got.select("vec_id", F.posexplode("cell").alias("a", "r"))
+    rows = rows.select("vec_id", "a", F.posexplode("r").alias("b", "x"))
+    return rows.select("vec_id", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.col("x").cast("double").alias("v"))
+
+
+@register("""
+SELECT vec_id, i, j, CAST(embedding[a * 8 + b + 1] AS DOUBLE) AS v FROM embeddings
+CROSS JOIN (VALUES (0, 7), (1, 0)) x(i, a) CROSS JOIN (VALUES (0, 5), (1, 1), (2, 6)) y(j, b)""")
+def nd_gather_2d(spark, sf_dir):
+    dims = normalise((None, [7, 0], [5, 1, 6]))[1:]
+    cell = N.gather(N.reshape(F.col("embedding"), [8, 8]), dims, 2, T.FloatType())
+    rows = _vectors(spark, sf_dir).df.select("vec_id", F.posexplode(cell).alias("i", "r"))
+    return rows.select("vec_id", "i", F.posexplode("r").alias("j", "x")).select("vec_id", "i", "j", F.col("x").cast("double").alias("v"))
+
+
+@register("SELECT vec_id, CAST(i - 1 AS INTEGER) AS i, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, unnest(range(1, 65)) t(i)")
+def flat_offset(spark, sf_dir):
+    flat = N.flat(N.reshape(F.col("embedding"), [4, 4, 4]), 3)
+    return _vectors(spark, sf_dir).df.select("vec_id", F.posexplode(flat).alias("i", "x")).select("vec_id", "i", F.col("x").cast("double").alias("v"))
+
+
+@register("SELECT vec_id, 8 AS a, 8 AS b FROM embeddings")
+def row_shape_fixed(spark, sf_dir):
+    shape = N.shape(N.reshape(F.col("embedding"), [8, 8]), 2)
+    return _vectors(spark, sf_dir).df.select("vec_id", F.get(shape, F.lit(0)).alias("a"), F.get(shape, F.lit(1)).alias("b"))
+
+
+@register("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN NULL ELSE 2 END AS n FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS q FROM labels GROUP BY doc_id) l USING (doc_id)")
+def row_shape_missing(spark, sf_dir):
+    labels = _read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.array(F.min("quality"), F.max("toxic")).alias("cell"))
+    df = _read(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left").withColumn(ROW, F.col("doc_id"))
+    t = Table(spark, df, {"doc_id": D.column("int64"), "cell": D.column("int", 1), **{k: {} for k in D.TABLE_KEYS}})
+    return t.shapes("cell").select(F.col(ROW).alias("doc_id"), F.get("shape", F.lit(0)).alias("n"))
+
+
+@register("SELECT conv_id, CAST(count(*) AS INTEGER) AS n FROM conversations GROUP BY conv_id")
+def row_shape_variable(spark, sf_dir):
+    df = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("cell")).withColumn(ROW, F.col("conv_id"))
+    t = Table(spark, df, {"conv_id": D.column("int64"), "cell": D.column("int64", 1), **{k: {} for k in D.TABLE_KEYS}})
+    return t.shapes("cell").select(F.col(ROW).alias("conv_id"), F.get("shape", F.lit(0)).alias("n"))
+
+
+@register("SELECT event_id, value * value + CAST(user_id AS DOUBLE) * CAST(user_id AS DOUBLE) AS power FROM events")
+def complex_power(spark, sf_dir):
+    pair = F.array("value", F.col("user_id").cast("double"))
+    return _read(spark, sf_dir, "events").select("event_id", N.power(pair).alias("power"))
+
+
+@register("SELECT event_id, value * 2.0 - CAST(user_id AS DOUBLE) * 3.0 AS re, value * 3.0 + CAST(user_id AS DOUBLE) * 2.0 AS im FROM events")
+def complex_product(spark, sf_dir):
+    p = N.complex_product(F.array("value", F.col("user_id").cast("double")), F.array(F.lit(2.0), F.lit(3.0)))
+    return _read(spark, sf_dir, "events").select("event_id", N.real(p).alias("re"), N.imag(p).alias("im"))
+
+
+@register("""
+SELECT CAST(min(k) AS BIGINT) AS start, CAST(max(k) AS BIGINT) AS stop, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT k, k - row_number() OVER (ORDER BY k) AS g FROM (SELECT DISTINCT event_id AS k FROM events WHERE event_type <> 'click' AND event_id % 7 <> 3)) GROUP BY g""")
+def chunk_runs(spark, sf_dir):
+    df = _read(spark, sf_dir, "events").where("event_type <> 'click' and event_id % 7 <> 3")
+    return runs(df.select(F.col("event_id").alias(ROW)))
+
+
+# -- writes, as what a version would hold --------------------------------------------------------------------------------
+
+
+@register("SELECT event_id, CASE event_id WHEN 7 THEN 70.5 WHEN 2 THEN 20.5 WHEN 11 THEN 110.5 ELSE value END AS value FROM events")
+def putcol_scatter(spark, sf_dir):
+    rows = [7, -1, 2, 11]
+    data = [70.5, 0.5, 20.5, 110.5]
+    update = spark.createDataFrame([(r, v) for r, v in zip(rows, data, strict=True) if r >= 0], "event_id long, new double")
+    df = _read(spark, sf_dir, "events").join(F.broadcast(update), "event_id", "left")
+    return df.select("event_id", N.scatter(F.col("value"), F.col("new"), [], 0).alias("value"))
+
+
+@register("SELECT vec_id, CAST(i - 1 AS INTEGER) AS i, CASE WHEN i - 1 = 9 THEN -1.0 WHEN i - 1 = 2 THEN -2.0 ELSE CAST(embedding[i] AS DOUBLE) END AS v FROM embeddings, unnest(range(1, 65)) t(i)")
+def putcol_cells(spark, sf_dir):
+    dims = normalise((None, [9, -1, 2]))[1:]
+    cell = N.scatter(F.col("embedding"), F.lit([-1.0, -9.0, -2.0]).cast("array<float>"), dims, 1)
+    return _vectors(spark, sf_dir).df.select("vec_id", F.posexplode(cell).alias("i", "x")).select("vec_id", "i", F.col("x").cast("double").alias("v"))
+
+
+@register("SELECT event_id, CASE WHEN event_id < 100 THEN event_id * 0.5 ELSE value END AS value FROM events")
+def putcol_prefix(spark, sf_dir):
+    update = spark.range(100).select(F.col("id").alias("event_id"), (F.col("id") * F.lit(0.5)).alias("new"))
+    df = _read(spark, sf_dir, "events").join(update, "event_id", "left")
+    return df.select("event_id", F.coalesce("new", "value").alias("value"))
+
+
+@register("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT i, '' FROM (SELECT unnest(range(25, 30)) AS i)")
+def addrows(spark, sf_dir):
+    df = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name")
+    return df.unionByName(spark.range(25, 30).select(F.col("id").alias("n_nationkey"), F.lit("").alias("n_name")))
+
+
+@register("SELECT n_nationkey, n_name, 0.0::DOUBLE AS weight, '' AS note FROM nation")
+def addcols(spark, sf_dir):
+    return _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.lit(0.0).alias("weight"), F.lit("").alias("note"))
+
+
+@register("SELECT p_partkey, CAST(p_size AS SMALLINT) AS size16, CAST(p_partkey AS DOUBLE) AS key64 FROM part")
+def cast_checked(spark, sf_dir):
+    df = _read(spark, sf_dir, "part")
+    return df.select("p_partkey", N.checked_cast(F.col("p_size"), df.schema["p_size"].dataType, "short").alias("size16"), N.checked_cast(F.col("p_partkey"), df.schema["p_partkey"].dataType, "double").alias("key64"))
+
+
+# -- the query language ----------------------------------------------------------------------------------------------------
+
+
+def _taql(spark, query: str, *tables: Table) -> DataFrame:
+    t = Table.from_taql(query, list(tables), spark=spark)
+    return t._df.select(*t.columns())
+
+
+def _events(spark, sf_dir) -> Table:
+    return _table(spark, sf_dir, "events")
+
+
+@register("SELECT event_id, user_id, value, event_id AS \"row\" FROM events ORDER BY user_id, value, event_id LIMIT 100")
+def taql_order(spark, sf_dir):
+    return _taql(spark, "SELECT event_id, user_id, value, ROWID() AS row FROM $1 ORDER BY user_id, value LIMIT 100", _events(spark, sf_dir))
+
+
+@register("""
+SELECT event_type, bucket, min(event_id) AS first_row, max(event_id) AS last_row, count(*) AS n, CAST(list(event_id ORDER BY event_id)[2] AS BIGINT) AS second_row, list(value ORDER BY event_id)[1] AS first_value
+FROM (SELECT *, user_id % 5 AS bucket FROM events) GROUP BY event_type, bucket""")
+def taql_gaggr(spark, sf_dir):
+    got = _taql(spark, "SELECT event_type, user_id % 5 AS bucket, GROWID() AS rows, GAGGR(value) AS vals FROM $1 GROUPBY event_type, user_id % 5", _events(spark, sf_dir))
+    return got.select("event_type", "bucket", F.get("rows", F.lit(0)).alias("first_row"), F.element_at("rows", -1).alias("last_row"), F.size("rows").cast("long").alias("n"), F.get("rows", F.lit(1)).alias("second_row"), F.get("vals", F.lit(0)).alias("first_value"))
+
+
+@register("SELECT o_orderkey, o_orderkey AS \"row\" FROM orders WHERE o_totalprice > 100000 AND o_orderstatus IN ('F', 'O')")
+def taql_table_arg(spark, sf_dir):
+    return _taql(spark, "SELECT o_orderkey, ROWID() AS row FROM $1 WHERE o_totalprice > 100000 && o_orderstatus IN ['F', 'O']", _table(spark, sf_dir, "orders"))
+
+
+@register("SELECT event_type, count(*) AS n, min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean FROM events GROUP BY event_type HAVING count(*) > 1")
+def taql_aggregates(spark, sf_dir):
+    got = _taql(spark, "SELECT event_type, GCOUNT() AS n, GMIN(value) AS lo, GMAX(value) AS hi, GMEAN(value) AS mean FROM $1 GROUPBY event_type HAVING GCOUNT() > 1", _events(spark, sf_dir))
+    return got.withColumn("mean", F.round("mean", 6))
+
+
+@register("SELECT c_custkey, c_name, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_totalprice > 250000")
+def taql_join(spark, sf_dir):
+    query = "SELECT c.c_custkey, c.c_name, o.o_orderkey FROM $2 o JOIN $1 c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice > 250000"
+    return _taql(spark, query, _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders"))
+
+
+@register("SELECT DISTINCT event_type FROM events")
+def taql_distinct(spark, sf_dir):
+    return _taql(spark, "SELECT DISTINCT event_type FROM $1", _events(spark, sf_dir))
+
+
+@register("SELECT event_id, value FROM events WHERE value BETWEEN 10 AND 60 ORDER BY value DESC, event_id LIMIT 20 OFFSET 5")
+def taql_limit(spark, sf_dir):
+    return _taql(spark, "SELECT event_id, value FROM $1 WHERE value BETWEEN 10 AND 60 ORDERBY value DESC LIMIT 20 OFFSET 5", _events(spark, sf_dir))
+
+
+@register("SELECT event_type, count(*) AS n FROM (SELECT event_type, user_id FROM events WHERE user_id > 10) GROUP BY event_type")
+def taql_subquery(spark, sf_dir):
+    return _taql(spark, "SELECT event_type, GCOUNT() AS n FROM [SELECT event_type, user_id, event_id FROM $1 WHERE user_id > 10] GROUPBY event_type", _events(spark, sf_dir))
+
+
+# -- merge and export ----------------------------------------------------------------------------------------------------------
+
+
+@register("SELECT user_id, value, event_id FROM events")
+def merge_sorted(spark, sf_dir):
+    df = _read(spark, sf_dir, "events").select("user_id", "value", "event_id")
+    return merge.merge_partitions([df.where(f"event_id % 3 = {k}") for k in range(3)], ["user_id", "value", "event_id"])
+
+
+@register("""
+SELECT event_type, chunk, count(*) AS n, min(event_id) AS lo, max(event_id) AS hi FROM (
+  SELECT event_type, event_id, CAST(floor((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) / 1000) AS BIGINT) AS chunk FROM events) GROUP BY event_type, chunk""")
+def export_chunks(spark, sf_dir):
+    return export.chunk_plan(_read(spark, sf_dir, "events"), ["event_type"], 1000, "event_id")
+
+
+@register("SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity >= 10 AND l_quantity < 20 AND l_discount > 0.05")
+def dataset_predicate(spark, sf_dir):
+    df = _read(spark, sf_dir, "lineitem")
+    return df.where("l_quantity >= 10 and l_quantity < 20 and l_discount > 0.05").select("l_orderkey", "l_quantity", "l_extendedprice")
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
