@@ -4,7 +4,8 @@ Documents with equal shingle sets form a class that one of them stands for. Repr
 signature coordinate and its value. Two passes find links: first each posting list links its members with its first and
 last one, which gathers groups of near copies in proportion to their size; then members of different groups meet under
 the rarest coordinates of their signatures only (prefix), and the coordinates that this skips are counted for the pairs that met.
-Links are confirmed on full shingle sets.
+The members of crowded lists meet under their rarest shingles instead, so that stragglers of a large group do not meet all
+of it. Links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ FIRST_PASS = 8
 #: Ids of candidates that are broadcast to fetch their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
+#: Members of a posting list beyond which its documents meet under their rarest shingles instead.
+CROWD = 32
+
 _U = np.uint64
 _RNG = np.random.default_rng(977)
 _FACTORS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * _U(2) + _U(1)
@@ -128,17 +132,50 @@ def confirm(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` whose full sets are similar enough. ``texts``: ``id``, ``h`` and
     ``text``; ``reps`` tells with which ``h`` a ``rep`` speaks."""
     pairs = durable(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps, "rep").select(F.col("rep").alias("id"), "h")
-    ids = durable(ids)
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = texts.join(ids, ["id", "h"], "left_semi").dropDuplicates(["id"])
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), texts, reps)
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(_confirm, "a long, b long")
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in chunks(batch, 1, 1 << 20):
+            hashes, ends = shingles(part.column(1).to_pylist())
+            n = np.diff(np.concatenate(([0], ends)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(part.column(0)), n), pa.int64()), pa.array(hashes.view(np.int64))], ["id", "shingle"])
+
+
+def _texts_of(ids: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """``id`` and ``text`` of representatives (``ids``: distinct ``rep``), one row each."""
+    ids = durable(ids.join(reps, "rep").select(F.col("rep").alias("id"), "h"))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return texts.join(ids, ["id", "h"], "left_semi").dropDuplicates(["id"]).select("id", "text")
+
+
+def crowd_pairs(crowd: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """``a`` and ``b`` of ``crowd`` (``rep``, ``n`` and ``group``, distinct) in different groups that may be similar enough.
+
+    An exact prefix filter: in an order of all shingles by the documents that have them, two similar sets share one of their
+    rarest, and how many come into question follows from both sizes. Shingles of one document only come first and meet nobody.
+    """
+    spread = _texts_of(crowd.select("rep"), texts, reps).mapInArrow(_spread, "id long, shingle long").withColumnRenamed("id", "rep")
+    common = spread.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
+    shared = spread.join(common, "shingle")
+    placed = shared.withColumns({
+        "place": F.row_number().over(Window.partitionBy("rep").orderBy("f", "shingle")),
+        "shared": F.count("*").over(Window.partitionBy("rep")),
+    })
+    placed = placed.join(crowd, "rep").withColumn("place", F.col("place") + F.col("n") - F.col("shared"))
+    placed = durable(placed.where(100 * F.col("place") <= (100 - SIMILAR) * F.col("n") + 100).select("rep", "n", "group", "shingle", "place"))
+    x, y = (placed.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "group", "place")]) for k in "ab")
+    overlap = F.ceil(SIMILAR * (F.col("n_a") + F.col("n_b")) / (100 + SIMILAR))
+    near = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b")) & (F.col("place_a") <= F.col("n_a") - overlap + 1) & (F.col("place_b") <= F.col("n_b") - overlap + 1)
+    return x.join(y, "shingle").where(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
 def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable over links, its own
     included) and ``kept`` (it is its own component's smallest).
@@ -152,7 +189,7 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     docs = durable(texts.mapInArrow(_sketch, "id long, h long, n long, digest binary, sig array<long>"))
     one = docs.where("id is not null").groupBy("id").agg(F.min("h").alias("h"))
     full = docs.join(one, ["id", "h"]).where("digest is not null")
-    classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
+    classes = durable(full.groupBy("digest").agg(F.min("id").alias("rep")))
     member = durable(full.join(classes, "digest").select("id", "h", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("sig")).alias("sig")))
     reps = durable(member.where("sig is not null").groupBy("rep").agg(F.first("h").alias("h"), F.max("n").alias("n"), F.first("sig").alias("sig")))
     texts = texts.where("id is not null")
@@ -174,12 +211,14 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     prefix = ranked.where(F.col("shared") >= MATCHES).where(F.col("place") + COORDINATES - F.col("shared") <= PREFIX)
     prefix = prefix.join(group.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "key", F.coalesce("label", "rep").alias("group"))
     prefix = durable(prefix)
-    mixed = prefix.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g <> h").select("key")
+    mixed = durable(prefix.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"), F.count("*").alias("members")).where("g <> h").select("key", "members"))
     prefix = durable(prefix.join(mixed, "key"))
-    x = prefix.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"))
-    y = prefix.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
+    crowd = prefix.where(F.col("members") > CROWD).select("rep", "n", "group").distinct()
+    lists = prefix.where(F.col("members") <= CROWD)
+    x = lists.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"))
+    y = lists.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
     near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (100 * F.least("na", "nb") >= SIMILAR * F.greatest("na", "nb"))
-    pairs = x.join(y, "key").where(near).select("a", "b").distinct()
+    pairs = x.join(y, "key").where(near).select("a", "b").unionByName(crowd_pairs(durable(crowd), texts, reps)).distinct()
     sig_a, sig_b = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
     pairs = pairs.join(sig_a, "a").join(sig_b, "b").where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b")
     more = confirm(pairs, texts, reps)
