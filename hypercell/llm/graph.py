@@ -12,17 +12,21 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label``, the smallest node reachable, of every node in ``links`` (columns ``a`` and ``b``; null ends and
     loops are left out, repeated links count once). No links give no rows.
 
-    Each round points every node to its smallest neighbour, then to where that one points, and contracts the links, of which
-    those between different nodes go on; their number at least halves the nodes that are left. Nothing is gathered in the
-    driver, and a node's neighbours are only ever reduced to a minimum.
+    Each round points every node to its smallest neighbour and follows the pointers to their ends by doubling, then contracts
+    the links, of which those between different ends go on. Nothing is gathered in the driver, and a node's neighbours are
+    only ever reduced to a minimum.
     """
     edges = durable(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     label = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = durable(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), F.least("a", "low").alias("p")))
-        up = first.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        point = durable(first.join(up, "p").select("u", F.col("pp").alias("p")))
+        point = durable(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), F.least("a", "low").alias("p")))
+        while True:
+            up = point.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+            jumped = durable(point.join(up, "p").select("u", "p", "pp"))
+            point = jumped.select("u", F.col("pp").alias("p"))
+            if jumped.where("p <> pp").isEmpty():
+                break
         if label is None:
             label = point.select(F.col("u").alias("node"), F.col("p").alias("label"))
         else:
