@@ -62,7 +62,17 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chunk_plan(df: DataFrame, partition: Sequence[str], nrow: int, row: str = ROW) -> DataFrame:
-    """Chunks of ``nrow`` rows in row order in each partition: the partition columns, ``chunk``, ``n``, ``lo`` and ``hi`` row."""
-    w = Window.partitionBy(*partition).orderBy(row)
-    numbered = df.select(*partition, F.col(row).alias("r"), F.floor((F.row_number().over(w) - 1) / nrow).cast("long").alias("chunk"))
+    """Chunks of ``nrow`` rows in row order in each partition: the partition columns, ``chunk``, ``n``, ``lo`` and ``hi`` row.
+
+    Rows are numbered within ranges of 65,536 row ids and the ranges' counts added up, so a large partition is numbered by many tasks.
+    """
+    src = df.select(*partition, F.col(row).alias("r"), F.shiftright(F.col(row).cast("long"), 16).alias("cell"))
+    before = Window.partitionBy(*partition).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = src.groupBy(*partition, "cell").agg(F.count("*").alias("c"))
+    cells = cells.select(*[F.col(p).alias(f"p_{p}") for p in partition], F.col("cell").alias("p_cell"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("skip"))
+    same = F.lit(True)
+    for c in (*partition, "cell"):
+        same &= src[c].eqNullSafe(cells[f"p_{c}"])
+    place = F.row_number().over(Window.partitionBy(*partition, "cell").orderBy("r")) + F.col("skip") - 1
+    numbered = src.join(cells, same).select(*partition, "r", F.floor(place / nrow).cast("long").alias("chunk"))
     return numbered.groupBy(*partition, "chunk").agg(F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi"))

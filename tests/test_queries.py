@@ -1,4 +1,3 @@
-import conftest
 import oracle
 import pytest
 
@@ -7,12 +6,12 @@ from hypercell.plans import catalogue
 
 @pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_against_sql(spark, name):
-    df = catalogue.queries()[name](spark, conftest.SF)
+    df = catalogue.queries()[name](spark, oracle.SF)
     sql = catalogue.oracle_sql().get(name)
     if sql is None:
         assert df.collect()
     else:
-        oracle.same(df, sql, conftest.SF)
+        oracle.same(df, sql, oracle.SF)
 
 
 def test_entry(spark):
