@@ -5,12 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
-
-
-def prose(k: int, n: int) -> str:
-    """n words that depend on k."""
-    return " ".join(WORDS[(k * 7 + i * i * (k + 3) + i) % len(WORDS)] + str((k * 31 + i) % 97 if i % 5 == 0 else "") for i in range(n))
+from brute import prose  # noqa: E402
 
 
 @pytest.fixture(scope="session")

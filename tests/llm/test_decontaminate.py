@@ -1,8 +1,7 @@
 import re
 from collections import defaultdict
 
-import conftest as top  # noqa: F401
-from conftest import prose
+from brute import prose
 
 from hypercell.llm import decontaminate as D
 

@@ -1,5 +1,5 @@
 import oracle
-from conftest import prose
+from brute import prose
 
 from hypercell.llm import linededup as L
 

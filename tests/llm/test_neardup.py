@@ -1,7 +1,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest import WORDS, prose
+from brute import WORDS, prose
 
 from hypercell.llm import neardup
 from hypercell.llm.graph import components

@@ -2,7 +2,7 @@ import brute
 import corpus_pipeline
 import oracle
 import pytest
-from conftest import prose
+from brute import prose
 
 from hypercell.llm import decontaminate, quality, queries
 
