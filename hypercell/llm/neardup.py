@@ -36,6 +36,9 @@ BROADCAST_IDS = 1_000_000
 #: Members of a posting list beyond which its documents meet under their rarest shingles instead.
 CROWD = 32
 
+#: Counters of the table that orders shingles.
+COUNTERS = 1 << 20
+
 _U = np.uint64
 _RNG = np.random.default_rng(977)
 _FACTORS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * _U(2) + _U(1)
@@ -132,19 +135,46 @@ def confirm(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` whose full sets are similar enough. ``texts``: ``id``, ``h`` and
     ``text``; ``reps`` tells with which ``h`` a ``rep`` speaks."""
     pairs = durable(pairs)
-    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), texts, reps)
+    texts = durable(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), texts, reps))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(_confirm, "a long, b long")
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task adds to the counters."""
+    table = np.zeros(COUNTERS, np.int64)
     for batch in batches:
         for part in chunks(batch, 1, 1 << 20):
-            hashes, ends = shingles(part.column(1).to_pylist())
-            n = np.diff(np.concatenate(([0], ends)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(part.column(0)), n), pa.int64()), pa.array(hashes.view(np.int64))], ["id", "shingle"])
+            hashes, _ = shingles(part.column(1).to_pylist())
+            table += np.bincount((hashes & _U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(table)
+    if len(at):
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(table[at], pa.int64())], ["counter", "n"])
+
+
+def _prefixes(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            for part in chunks(batch, 1, 1 << 20):
+                hashes, ends = shingles(part.column(1).to_pylist())
+                out: list[list[np.ndarray]] = [[], [], [], []]
+                begin = 0
+                for rep, end in zip(part.column(0).to_pylist(), ends.tolist(), strict=True):
+                    h = hashes[begin:end]
+                    c = table[(h & _U(COUNTERS - 1)).astype(np.int64)]
+                    order = np.lexsort((h, c))[: (100 - SIMILAR) * len(h) // 100 + 1]
+                    met = c[order] > 1
+                    h = h[order].view(np.int64)
+                    for o, x in zip(out, (np.full(int(met.sum()), rep), h[met], np.flatnonzero(met) + 1, np.roll(h, 1)[met]), strict=True):
+                        o.append(x)
+                    begin = end
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o), pa.int64()) for o in out], ["rep", "shingle", "place", "before"])
+
+    return run
 
 
 def _texts_of(ids: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
@@ -158,21 +188,22 @@ def _texts_of(ids: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
 def crowd_pairs(crowd: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """``a`` and ``b`` of ``crowd`` (``rep``, ``n`` and ``group``, distinct) in different groups that may be similar enough.
 
-    An exact prefix filter: in an order of all shingles by the documents that have them, two similar sets share one of their
-    rarest, and how many come into question follows from both sizes. Shingles of one document only come first and meet nobody.
+    An exact prefix filter: in one order of all shingles two similar sets share one of their first, and how many come into
+    question follows from both sizes. The order is by counts in a table of fixed size, rarest first; counters that several shingles
+    share make it less sharp, not wrong. Shingles with a count of one meet nobody.
     """
-    spread = _texts_of(crowd.select("rep"), texts, reps).mapInArrow(_spread, "id long, shingle long").withColumnRenamed("id", "rep")
-    common = spread.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    shared = spread.join(common, "shingle")
-    placed = shared.withColumns({
-        "place": F.row_number().over(Window.partitionBy("rep").orderBy("f", "shingle")),
-        "shared": F.count("*").over(Window.partitionBy("rep")),
-    })
-    placed = placed.join(crowd, "rep").withColumn("place", F.col("place") + F.col("n") - F.col("shared"))
-    placed = durable(placed.where(100 * F.col("place") <= (100 - SIMILAR) * F.col("n") + 100).select("rep", "n", "group", "shingle", "place"))
-    x, y = (placed.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "group", "place")]) for k in "ab")
+    spark = crowd.sparkSession
+    texts = durable(_texts_of(crowd.select("rep"), texts, reps))
+    counts = texts.mapInArrow(_count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(COUNTERS, np.int32)
+    table[counts.column("counter").to_numpy()] = np.minimum(counts.column("n").to_numpy(), np.iinfo(np.int32).max)
+    placed = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast(table)), "rep long, shingle long, place long, before long")
+    placed = durable(placed.join(crowd, "rep"))
+    x, y = (placed.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "group", "place", "before")]) for k in "ab")
     overlap = F.ceil(SIMILAR * (F.col("n_a") + F.col("n_b")) / (100 + SIMILAR))
     near = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b")) & (F.col("place_a") <= F.col("n_a") - overlap + 1) & (F.col("place_b") <= F.col("n_b") - overlap + 1)
+    # A pair that met under the shingle before this one, in both orders, does not meet again.
+    near &= (F.col("before_a") != F.col("before_b")) | (F.least("place_a", "place_b") == 1)
     return x.join(y, "shingle").where(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
