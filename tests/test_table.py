@@ -94,7 +94,7 @@ def test_complex(spark, tmp_path):
     assert_array_equal(t.getcol("C"), data)
     with settings(**{"convert.strategy": "fixed"}):
         assert t.to_arrow().column("C").type == pa.list_(pa.list_(pa.list_(pa.float64(), 2), 4), 2)
-    with settings(**{"casa.convert.strategy": "list"}):
+    with settings(**{"any.convert.strategy": "list"}):
         assert t.to_arrow().column("C").type == pa.list_(pa.list_(pa.list_(pa.float64())))
 
 
