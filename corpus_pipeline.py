@@ -19,7 +19,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that recur across documents; one that has nothing left goes, as the line's first document keeps it."""
-    out = linededup.dedup(docs).where((F.col("lines_dropped") == 0) | (F.trim("text") != ""))
+    out = linededup.dedup(docs, whole=True).where((F.col("lines_dropped") == 0) | (F.trim("text") != ""))
     return out.select(*[F.when(F.col("lines_dropped") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 

@@ -84,10 +84,32 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text")).where("id is not null")
 
 
-def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _variants(found: DataFrame, slots: DataFrame, counted: DataFrame) -> DataFrame:
+    """Lines without a recurring template of their own, with the most similar recurring one of their leaf: at least ``CONSTANT``
+    of its tokens that are not fields are the line's."""
+    constant = F.filter(F.split("template", " "), lambda t: t != FIELD)
+    known = counted.select("leaf", F.struct("template", "first", F.split("template", " ").alias("fields"), F.size(constant).alias("constants")).alias("t"))
+    known = known.groupBy("leaf").agg(F.collect_list("t").alias("known"))
+    own = found.join(known, "leaf").join(slots, "leaf").withColumn("tokens", F.split("masked", " "))
+    own = own.where(~F.exists("known", lambda t: t["template"] == F.array_join(_fields(), " ")))
+
+    def scored(t):
+        same = F.size(F.filter(F.zip_with("tokens", t["fields"], lambda a, b: (b != FIELD) & (a == b)), lambda x: x))
+        return F.struct((-same / t["constants"]).alias("rank"), t["template"].alias("template"), t["first"].alias("first"), (100 * same >= CONSTANT * t["constants"]).alias("fits"))
+
+    best = F.array_min(F.filter(F.transform("known", scored), lambda x: x["fits"]))
+    return own.select("id", "h", "line", best.alias("best")).where("best is not null").select("id", "h", "line", "best.template", "best.first")
+
+
+def _fields():
+    return F.transform(F.split("masked", " "), lambda t, i: F.when(F.array_contains(F.get("slots", i), t), t).otherwise(FIELD))
+
+
+def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False) -> DataFrame:
     """The lines to drop: ``id``, ``h`` (hash of the text they stand in), ``line`` (from 0) and ``template``.
 
     Documents of a template are counted by id, so repeated rows count once; its lines stay in the document of the smallest id.
+    With ``variants``, lines that differ from a recurring template of their leaf in a few tokens go as well.
     """
     ship(df.sparkSession)
     texts = _keyed(df, id_col, text_col)
@@ -102,22 +124,28 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     stays = placed.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
     slots = stays.groupBy("leaf", "place").agg(F.collect_list("token").alias("tokens")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "tokens"))).alias("at"), F.max("place").alias("last"))
     slots = durable(slots.select("leaf", F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at("at", i)).alias("slots")))
-    fields = F.transform(F.split("masked", " "), lambda t, i: F.when(F.array_contains(F.get("slots", i), t), t).otherwise(FIELD))
-    made = found.join(slots, "leaf").select("id", "h", "line", fields.alias("fields"))
+    made = found.join(slots, "leaf").select("id", "h", "line", "leaf", _fields().alias("fields"))
     made = made.where(100 * F.size(F.filter("fields", lambda t: t != FIELD)) >= CONSTANT * F.size("fields"))
-    made = durable(made.select("id", "h", "line", F.array_join("fields", " ").alias("template")))
-    counted = made.select("template", "id").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= MIN_DOCS)
-    return made.join(counted, "template").where("id <> first").select("id", "h", "line", "template")
-
-
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    made = durable(made.select("id", "h", "line", "leaf", F.array_join("fields", " ").alias("template")))
+    # A template has one leaf: the leading tokens of a leaf stay in its templates.
+    counted = made.select("template", "id", "leaf").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("id").alias("first"), F.min("leaf").alias("leaf")).where(F.col("docs") >= MIN_DOCS)
+    if variants:
+        counted = durable(counted)
+    gone = made.join(counted.drop("leaf"), "template").select("id", "h", "line", "template", "first")
+    if variants:
+        gone = gone.unionByName(_variants(found, slots, counted))
+    return gone.where("id <> first").select("id", "h", "line", "template")
+
+
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """The input's rows and columns, with recurring lines cut from the text, and ``lines_dropped``, which replaces a column of
     that name.
 
     A null text stays null; rows without an id, and lines of fewer than ``MIN_TOKENS`` tokens, stay as they are; repeated rows are
     treated alike; an empty table gives an empty one. A text whose lines all recur becomes empty.
+    With ``whole``, edited variants of recurring lines go too.
     """
-    gone = recurring(df, id_col, text_col).groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    gone = recurring(df, id_col, text_col, variants=whole).groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
     columns = [c for c in df.columns if c != "lines_dropped"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))

@@ -29,6 +29,17 @@ def test_rare_lines_stay(spark):
     assert L.recurring(twice).where("template like 'this line%'").count() == 0  # repeated in one document
 
 
+def test_edited_variants_of_a_recurring_line_go(spark):
+    line = "the committee met on the first floor and read the minutes of the last session aloud"
+    rows = [(i, f"{line}\n{prose(i, 20)}") for i in range(20)]
+    edited = [(30, line.replace("minutes", "letters")), (31, line.replace("first", "third").replace("aloud", "twice"))]
+    far = (32, "the committee met " + " ".join(f"w{c}x" for c in "abcdefghijklm"))
+    df = spark.createDataFrame([*rows, *edited, far], "doc_id long, text string")
+    gone = sorted(r["id"] for r in L.recurring(df, variants=True).collect())
+    assert gone == [*range(1, 20), 30, 31]
+    assert L.dedup(df, whole=True).where("doc_id in (30, 31)").select("text").distinct().first()["text"] == ""
+
+
 def test_odd_rows(spark, odd, none):
     out = L.dedup(odd)
     assert out.columns == [*odd.columns, "lines_dropped"]
