@@ -23,6 +23,8 @@ DEPTH, MIN_TOKENS = 3, 4
 MIN_DOCS = 8
 #: Least share of a template's tokens that are not variable, in hundredths.
 CONSTANT = 70
+#: A line of more tokens is too long to recur by chance: its exact repeats count from two documents on.
+LONG = 50
 FIELD = "<*>"
 
 _TOKEN = re.compile(r"[^ \t\r\f\v]+")
@@ -137,15 +139,28 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", var
     return gone.where("id <> first").select("id", "h", "line", "template")
 
 
+def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exact repeats of lines of more than ``LONG`` tokens in two or more documents: ``id``, ``h`` and ``line``, but for the
+    document of the smallest id."""
+    split = _keyed(df, id_col, text_col).select("id", "h", F.posexplode(F.split("text", "\n")).alias("line", "l"))
+    long = split.where(F.regexp_count("l", F.lit(r"[^ \t\r\f\x0B]+")) > LONG)
+    keyed = durable(long.select("id", "h", "line", F.unhex(F.md5(F.col("l").cast("binary"))).alias("key")))
+    twice = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").drop("last")
+    return keyed.join(twice, "key").where("id <> first").select("id", "h", "line")
+
+
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """The input's rows and columns, with recurring lines cut from the text, and ``lines_dropped``, which replaces a column of
     that name.
 
     A null text stays null; rows without an id, and lines of fewer than ``MIN_TOKENS`` tokens, stay as they are; repeated rows are
     treated alike; an empty table gives an empty one. A text whose lines all recur becomes empty.
-    With ``whole``, edited variants of recurring lines go too.
+    With ``whole``, edited variants of recurring lines and repeats of long lines go too.
     """
-    gone = recurring(df, id_col, text_col, variants=whole).groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    gone = recurring(df, id_col, text_col, variants=whole).select("id", "h", "line")
+    if whole:
+        gone = gone.unionByName(repeats(df, id_col, text_col))
+    gone = gone.groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
     columns = [c for c in df.columns if c != "lines_dropped"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))

@@ -40,6 +40,15 @@ def test_edited_variants_of_a_recurring_line_go(spark):
     assert L.dedup(df, whole=True).where("doc_id in (30, 31)").select("text").distinct().first()["text"] == ""
 
 
+def test_long_lines_go_from_two_documents_on(spark):
+    long, short = prose(1, 60).replace("\n", " "), prose(2, 20).replace("\n", " ")
+    rows = [(i, f"{prose(i + 10, 30)}\n{long}\n{short}") for i in (3, 5)]
+    df = spark.createDataFrame([*rows, (4, f"{long}\n{long}"), (9, f"{long}x")], "doc_id long, text string")
+    assert sorted((r["id"], r["line"]) for r in L.repeats(df).collect()) == [(4, 0), (4, 1), (5, len(rows[1][1].split("\n")) - 2)]
+    got = {r["doc_id"]: r for r in L.dedup(df, whole=True).collect()}
+    assert [got[i]["lines_dropped"] for i in (3, 4, 5, 9)] == [0, 2, 1, 0] and short in got[5]["text"] and got[4]["text"] == ""
+
+
 def test_odd_rows(spark, odd, none):
     out = L.dedup(odd)
     assert out.columns == [*odd.columns, "lines_dropped"]
