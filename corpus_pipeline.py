@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hypercell.llm import bpe, decontaminate, linededup, neardup, quality
-from hypercell.llm.common import scratch
+from hypercell.llm.common import durable, scratch
 from hypercell.llm.queries import QUALITY_FOLDS, QUALITY_HELD_OUT, vocabulary
 
 
@@ -17,16 +17,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep(docs, model)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that recur across documents; one that has nothing left goes, as the line's first document keeps it."""
-    out = linededup.dedup(docs, whole=True).where((F.col("lines_dropped") == 0) | (F.trim("text") != ""))
+def _left(docs: DataFrame, out: DataFrame) -> DataFrame:
+    """Documents whose lines were cut; one that has nothing left goes, as the line's first document keeps it."""
+    out = out.where((F.col("lines_dropped") == 0) | (F.trim("text") != ""))
     return out.select(*[F.when(F.col("lines_dropped") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that recur across documents, or vary such a line."""
+    return _left(docs, linededup.dedup(docs, variants=True))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    gone = neardup.link(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near copies, without long lines that another group's document holds too."""
+    gone = durable(neardup.link(docs).where(~F.col("kept")).select("doc_id").distinct())
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _left(docs, linededup.dedup_long(kept))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

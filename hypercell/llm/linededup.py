@@ -149,17 +149,24 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return keyed.join(twice, "key").where("id <> first").select("id", "h", "line")
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False) -> DataFrame:
     """The input's rows and columns, with recurring lines cut from the text, and ``lines_dropped``, which replaces a column of
     that name.
 
     A null text stays null; rows without an id, and lines of fewer than ``MIN_TOKENS`` tokens, stay as they are; repeated rows are
     treated alike; an empty table gives an empty one. A text whose lines all recur becomes empty.
-    With ``whole``, edited variants of recurring lines and repeats of long lines go too.
+    With ``variants``, edited variants of recurring lines go too.
     """
-    gone = recurring(df, id_col, text_col, variants=whole).select("id", "h", "line")
-    if whole:
-        gone = gone.unionByName(repeats(df, id_col, text_col))
+    return _cut(df, recurring(df, id_col, text_col, variants), id_col, text_col)
+
+
+def dedup_long(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``dedup``, for exact repeats of long lines. It belongs after near dedup: copies of a document that lack their common
+    lines are not alike any more."""
+    return _cut(df, repeats(df, id_col, text_col), id_col, text_col)
+
+
+def _cut(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
     gone = gone.groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
     columns = [c for c in df.columns if c != "lines_dropped"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

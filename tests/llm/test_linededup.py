@@ -37,7 +37,7 @@ def test_edited_variants_of_a_recurring_line_go(spark):
     df = spark.createDataFrame([*rows, *edited, far], "doc_id long, text string")
     gone = sorted(r["id"] for r in L.recurring(df, variants=True).collect())
     assert gone == [*range(1, 20), 30, 31]
-    assert L.dedup(df, whole=True).where("doc_id in (30, 31)").select("text").distinct().first()["text"] == ""
+    assert L.dedup(df, variants=True).where("doc_id in (30, 31)").select("text").distinct().first()["text"] == ""
 
 
 def test_long_lines_go_from_two_documents_on(spark):
@@ -45,10 +45,19 @@ def test_long_lines_go_from_two_documents_on(spark):
     rows = [(i, f"{prose(i + 10, 30)}\n{long}\n{short}") for i in (3, 5)]
     df = spark.createDataFrame([*rows, (4, f"{long}\n{long}"), (9, f"{long}x")], "doc_id long, text string")
     assert sorted((r["id"], r["line"]) for r in L.repeats(df).collect()) == [(4, 0), (4, 1), (5, len(rows[1][1].split("\n")) - 2)]
-    got = {r["doc_id"]: r for r in L.dedup(df, whole=True).collect()}
+    got = {r["doc_id"]: r for r in L.dedup_long(df).collect()}
     assert [got[i]["lines_dropped"] for i in (3, 4, 5, 9)] == [0, 2, 1, 0] and short in got[5]["text"] and got[4]["text"] == ""
 
 
+def test_near_copies_go_whole_and_long_lines_of_others_once(spark):
+    import corpus_pipeline
+
+    parts = [" ".join(f"{w}{p}" for w in prose(p + 1, 60).split()) for p in range(8)]
+    rows = [(1, "\n".join(parts)), (2, "\n".join([*parts[:-1], parts[-1].replace("alpha", "alphax")])), (3, prose(50, 300) + "\n" + parts[0])]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), ""), "").collect()}
+    assert got == {1: rows[0][1], 3: prose(50, 300)}
+
+
 def test_odd_rows(spark, odd, none):
     out = L.dedup(odd)
     assert out.columns == [*odd.columns, "lines_dropped"]
