@@ -24,8 +24,8 @@ from hypercell.llm.labelled import MAX_TRAINING_ROWS, sample, with_labels
 MAX_CANDIDATES, MAX_TERMS = 20_000, 400
 #: A term stands in at least so many toxic training documents, and its odds there are so many times those elsewhere.
 MIN_DOCS, MIN_ODDS = 5, 8.0
-#: Share of toxic documents among those that hold a term; a lower one counts only if no term reaches the higher.
-PRECISIONS = (0.97, 0.85, 0.6)
+#: Least lower confidence bound of the share of toxic documents among those that hold a term, and the bound's normal quantile.
+LEAST_PRECISION, QUANTILE = 0.5, 1.96
 #: Lengths of the word beginnings that are terms beside whole words.
 PREFIXES = (4, 5, 6)
 
@@ -181,18 +181,22 @@ def _counted(src: DataFrame, only: dict[str, int] | None) -> DataFrame:
     return src.select("text").mapInArrow(run, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
+def lower_bound(a: int, n: int) -> float:
+    """Wilson's lower bound of a share of which ``a`` of ``n`` are seen."""
+    z = QUANTILE * QUANTILE
+    return float((a + z / 2 - QUANTILE * np.sqrt(a * (n - a) / n + z / 4)) / (n + z))
+
+
 def induce(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[str]:
-    """Terms by how far their odds in toxic documents exceed those in clean ones, of several toxic documents each."""
+    """Terms by how far their odds in toxic documents exceed those in clean ones, of several toxic documents each. A term that
+    a few clean documents hold too stays; the label model weighs it."""
     ranked = []
     for t, a in toxic.items():
         b = clean.get(t, 0)
         odds = ((a + 0.5) / (n_toxic - a + 0.5)) / ((b + 0.5) / (n_clean - b + 0.5))
-        if a >= MIN_DOCS and odds >= MIN_ODDS:
-            ranked.append((-a * np.log(odds), t, a / (a + b)))
-    for least in PRECISIONS:
-        if good := sorted(x for x in ranked if x[2] >= least):
-            return [t for _, t, _ in good[:MAX_TERMS]]
-    return []
+        if a >= MIN_DOCS and odds >= MIN_ODDS and lower_bound(a, a + b) >= LEAST_PRECISION:
+            ranked.append((-a * np.log(odds), t))
+    return [t for _, t in sorted(ranked)[:MAX_TERMS]]
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 1, held_out: int | None = None, limit: int = MAX_TRAINING_ROWS) -> Model:

@@ -59,6 +59,12 @@ def test_label_model_finds_accuracies_and_repeats():
     assert max(m.own[0], m.own[4]) < 0.7 * m.own[1]  # a voter and its copy share their evidence
 
 
+def test_terms_with_a_few_clean_documents_stay():
+    toxic = {"always": 40, "mostly": 26, "chance": 6, "even": 20}
+    got = toxicity.induce(toxic, {"mostly": 1, "chance": 4, "even": 20}, 352, 2800)
+    assert got == ["always", "mostly"]
+
+
 def test_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (5, 1, 1), (None, 1, 1), (9, None, None), (77, 1, 0)], "doc_id long, quality int, toxic int")
     for module in (quality, toxicity):
