@@ -7,47 +7,27 @@ the others are merged with a heap of candidate pairs over bytes that are linked
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import binary_array, chunks, id_text, ragged, raw, ship
+from hypercell.llm import words
+from hypercell.llm.common import binary_array, chunks, id_text, lean, ragged, raw, ship
 
 _U = np.uint64
-_LUT = np.random.default_rng(20240917).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
 
 #: Largest rank file that is broadcast; larger vocabularies are refused.
 MAX_VOCAB_BYTES = 64 << 20
 #: Bytes of text that a worker tokenizes at once.
-CHUNK_BYTES = 2 << 20
-#: Merged pre-tokens that a worker remembers; the memory starts anew when it is full.
-MEMO_SIZE = 300_000
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-def hash_bytes(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice of ``data``; no slice may be empty."""
-    lens = np.diff(offsets)
-    if not len(lens):
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(lens.max()), _BASE, np.uint64))
-        pos = np.arange(len(data)) - np.repeat(offsets[:-1], lens)
-        h = np.add.reduceat(_LUT[data] * powers[pos], offsets[:-1])
-        return _mix(h + lens.astype(np.uint64))
+CHUNK_BYTES = 1 << 20
+#: Two to this power are the slots for merged pre-tokens that a worker remembers; the memory starts anew when half of them are used.
+MEMO_BITS = 20
 
 
 class PerfectHash:
@@ -55,10 +35,11 @@ class PerfectHash:
 
     def __init__(self, keys: list[bytes]):
         n = len(keys)
-        arr = pa.array(keys, pa.large_binary())
         self.n = n
-        off, data = raw(arr)
-        h = hash_bytes(off, data)
+        lens = np.array([len(k) for k in keys], np.int64)
+        self.buf = words.padded(b"".join(keys))
+        places = np.cumsum(lens) - lens
+        h = words.hash_words(self.buf, places, lens)
         self.n_buckets = max(1, n // 3)
         bucket = (h >> _U(33)) % _U(self.n_buckets)
         order = np.argsort(bucket, kind="stable")
@@ -102,30 +83,24 @@ class PerfectHash:
         inv[slot_of] = np.arange(n)
         self.value = inv  # slot -> index of its key
         self.h = h[inv]
-        lens = np.diff(off)[inv]
-        self.lens = lens
-        self.starts = off[:-1][inv]
-        self.data = np.array(data)
+        self.lens = lens[inv]
+        self.starts = places[inv]
 
     def _slots(self, h: np.ndarray, d: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return (_mix(h + d * _U(0xD6E8FEB86659FD93)) % _U(self.n)).astype(np.int64)
+            return (words.mix(h + d * _U(0xD6E8FEB86659FD93)) % _U(self.n)).astype(np.int64)
 
-    def lookup(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """For each slice the index of the equal key, or -1."""
-        out = np.full(len(offsets) - 1, -1, np.int64)
+    def lookup(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """For each word, with its hash, the index of the equal key, or -1."""
+        out = np.full(len(h), -1, np.int64)
         if not len(out) or not self.n:
             return out
-        h = hash_bytes(offsets, data)
         d = self.disp[((h >> _U(33)) % _U(self.n_buckets)).astype(np.int64)]
         slot = np.where(d < 0, -d - 1, self._slots(h, np.maximum(d, 0).astype(np.uint64)))
-        lens = np.diff(offsets)
         hit = np.flatnonzero((self.h[slot] == h) & (self.lens[slot] == lens))
-        if len(hit):
-            n = lens[hit]
-            same = data[ragged(offsets[:-1][hit], n)] == self.data[ragged(self.starts[slot[hit]], n)]
-            hit = hit[np.logical_and.reduceat(same, np.concatenate(([0], np.cumsum(n)[:-1])))]
-        out[hit] = self.value[slot[hit]]
+        at = slot[hit]
+        equal = words.same(buf, starts[hit], self.buf, self.starts[at], lens[hit])
+        out[hit[equal]] = self.value[at[equal]]
         return out
 
 
@@ -193,54 +168,105 @@ class Codec:
         self._live()
 
     def _live(self) -> None:
-        self.split = regex.compile(self.pattern).findall
+        self.split = None if self.pattern == words.PATTERN else regex.compile(self.pattern).finditer
         self.ranks = dict(zip(self.tokens, self.ids.tolist(), strict=True))
-        self.memo: dict[bytes, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo = words.Seen(MEMO_BITS)
+        self.at, self.n = np.empty(1 << (MEMO_BITS - 1), np.int64), np.empty(1 << (MEMO_BITS - 1), np.int64)
+        self.merged, self.used = np.empty(1 << 16, np.uint32), 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "ranks", "memo")}
+        return {k: self.__dict__[k] for k in ("tokens", "ids", "pattern", "table", "blob", "token_len", "token_at")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._live()
 
-    def _merged(self, word: bytes) -> list[int]:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= MEMO_SIZE:
-                self.memo.clear()
-            got = merge(word, self.ranks)
-            if len(word) <= 64:
-                self.memo[word] = got
-        return got
-
-    def encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _starts(self, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pre-tokens start and how long they are."""
+        if self.split is None:
+            starts = words.cut(data, off[1:])
+            return starts, np.diff(starts, append=len(data))
+        found = []
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            text = data[a:b].tobytes().decode()
+            at = np.concatenate(([0], np.cumsum((np.frombuffer(text.encode("utf-32-le"), np.uint32)[:, None] >= [0, 0x80, 0x800, 0x10000]).sum(axis=1)))) if text else np.zeros(1, np.int64)
+            spans = np.array([m.span() for m in self.split(text) if m.end() > m.start()], np.int64).reshape(-1, 2)
+            found.append(a + at[spans])
+        spans = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return spans[:, 0], spans[:, 1] - spans[:, 0]
+
+    def _learn(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+        """Merge distinct pre-tokens, as many as there is room for, and remember them."""
+        starts, lens = starts[: self.memo.room], lens[: self.memo.room]
+        found = [merge(buf[a : a + k].tobytes(), self.ranks) for a, k in zip(starts.tolist(), lens.tolist(), strict=True)]
+        n = np.array([len(f) for f in found], np.int64)
+        total = int(n.sum())
+        new = slice(self.memo.n, self.memo.n + len(n))
+        self.memo.add(h[: len(n)], buf, starts, lens)
+        if self.used + total > len(self.merged):
+            self.merged = np.concatenate([self.merged[: self.used], np.empty(self.used + total, np.uint32)])
+        self.merged[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.at[new], self.n[new] = self.used + np.cumsum(n) - n, n
+        self.used += total
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in order, and where each text's ids end."""
-        split = self.split
-        found = [split(t) for t in texts]
-        words = np.array([len(f) for f in found], np.int64)
-        if not words.sum():
-            return np.empty(0, np.uint32), np.zeros(len(found), np.int64)
-        coded = pc.dictionary_encode(pa.array(chain.from_iterable(found), pa.large_string(), size=int(words.sum())))
-        del found
-        index = np.asarray(coded.indices)
-        off, data = raw(coded.dictionary)
-        key = self.table.lookup(off, data)
-        lens = np.ones(len(key), np.int64)
+        off, data = raw(texts)
+        if self.split is not None or len(data) <= words.LONG:
+            return self._encode(off, data)
+        ids, n = [np.empty(0, np.uint32)], []
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            parts = [self._encode(np.array([0, len(p)]), np.frombuffer(p, np.uint8))[0] for p in words.bounded(data[a:b].tobytes())]
+            ids += parts
+            n.append(sum(map(len, parts)))
+        return np.concatenate(ids), np.cumsum(np.array(n, np.int64))
+
+    def _encode(self, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, lens = self._starts(off, data)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(off) - 1, np.int64)
+        buf = words.padded(data)
+        h = words.hash_words(buf, starts, lens)
+        key = self.table.lookup(h, buf, starts, lens)
+        n = np.ones(len(key), np.int64)
         miss = np.flatnonzero(key < 0)
-        whole = data.tobytes()
-        ends = off.tolist()
-        merged = [self._merged(whole[ends[i] : ends[i + 1]]) for i in miss.tolist()]
-        lens[miss] = [len(m) for m in merged]
-        at = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        flat = np.empty(int(lens.sum()), np.uint32)
+        entry, alone = self._entries(h[miss], buf, starts[miss], lens[miss])
+        n[miss] = self.n[entry]
+        for i, m in alone:
+            n[miss[i]] = len(m)
+        at = np.cumsum(n) - n
+        ids = np.empty(int(n.sum()), np.uint32)
         hit = np.flatnonzero(key >= 0)
-        flat[at[hit]] = self.ids[key[hit]]
-        flat[ragged(at[miss], lens[miss])] = np.fromiter(chain.from_iterable(merged), np.uint32)
-        n = lens[index]
-        ids = flat[ragged(at[index], n)]
-        per_word = np.concatenate(([0], np.cumsum(n)))
-        return ids, per_word[np.cumsum(words)]
+        ids[at[hit]] = self.ids[key[hit]]
+        ids[ragged(at[miss], n[miss])] = self.merged[ragged(self.at[entry], n[miss])] if not alone else 0
+        if alone:
+            many = np.setdiff1d(np.arange(len(miss)), [i for i, _ in alone])
+            ids[ragged(at[miss[many]], n[miss[many]])] = self.merged[ragged(self.at[entry[many]], n[miss[many]])]
+            for i, m in alone:
+                ids[at[miss[i]] : at[miss[i]] + len(m)] = m
+        ends = np.append(at, len(ids))
+        return ids, ends[np.searchsorted(starts, off[1:])]
+
+    def _entries(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, list[int]]]]:
+        """Where the ids of each pre-token are remembered; those that could not be, with their ids."""
+        entry = self.memo.find(h, buf, starts, lens)
+        new = np.flatnonzero(entry < 0)
+        if not len(new):
+            return entry, []
+        _, one = np.unique(h[new], return_index=True)
+        if len(one) > self.memo.room:
+            self._forget()
+            new = np.arange(len(h))
+            _, one = np.unique(h, return_index=True)
+        one = new[one]
+        self._learn(h[one], buf, starts[one], lens[one])
+        entry = self.memo.find(h, buf, starts, lens)
+        left = np.flatnonzero(entry < 0)  # no room, or two share a hash
+        entry[left] = 0
+        return entry, [(i, merge(buf[starts[i] : starts[i] + lens[i]].tobytes(), self.ranks)) for i in left.tolist()]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All bytes of ``ids`` in order, and where each text's bytes end."""
@@ -276,13 +302,13 @@ def encode(df: DataFrame, coder: Codec, id_col: str = "doc_id", text_col: str =
         c = shared.value
         for batch in batches:
             for part in chunks(batch, 1, CHUNK_BYTES):
-                ids, ends = c.encode(part.column(1).to_pylist())
+                ids, ends = c.encode(part.column(1))
                 out = [binary_array(ids.astype("<u4").view(np.uint8), ends * 4)]
                 if decoded:
                     out.append(binary_array(*c.decode(ids, ends)))
                 yield _rows(part.column(0), out, ["id", "ids", "decoded"][: 2 + decoded])
 
-    out = id_text(df, id_col, text_col).mapInArrow(run, "id long, ids binary" + ", decoded binary" * decoded)
+    out = id_text(df, id_col, text_col).mapInArrow(lean(run), "id long, ids binary" + ", decoded binary" * decoded)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -300,4 +326,4 @@ def decode(df: DataFrame, coder: Codec, id_col: str = "doc_id", ids_col: str = "
                 yield _rows(part.column(0), [binary_array(*c.decode(np.frombuffer(data.tobytes(), "<u4"), off[1:] // 4))], ["id", "decoded"])
 
     src = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
-    return src.mapInArrow(run, "id long, decoded binary").withColumnRenamed("id", id_col)
+    return src.mapInArrow(lean(run), "id long, decoded binary").withColumnRenamed("id", id_col)

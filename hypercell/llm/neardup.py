@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hypercell.llm.bpe import _mix, hash_bytes
-from hypercell.llm.common import chunks, durable, id_text, ship
+from hypercell.llm.common import chunks, durable, id_text, lean, ship
 from hypercell.llm.graph import components
+from hypercell.llm.words import hash_words, mix, padded
 
 #: Words of a shingle, and the least similarity of a link in hundredths.
 SHINGLE, SIMILAR = 5, 75
@@ -58,7 +58,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     is_word = ~_SEP[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], is_word)).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    word = hash_bytes(np.concatenate(([0], np.cumsum(ends - starts))), _LOWER[buf[is_word]])
+    word = hash_words(padded(_LOWER[buf]), starts, ends - starts)
     doc = np.searchsorted(at, starts, side="right") - 1
     counts = np.bincount(doc, minlength=len(texts)) if len(doc) else np.zeros(len(texts), np.int64)
     last = np.cumsum(counts)
@@ -78,7 +78,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for d in np.flatnonzero((counts > 0) & (counts < SHINGLE)).tolist():
             k = int(counts[d])
             out[out_ends[d] - 1] = (word[last[d] - k : last[d]] * _PLACE[:k]).sum(dtype=np.uint64) + _U(k)
-        out = _mix(out)
+        out = mix(out)
     begin = 0
     for end in out_ends.tolist():
         out[begin:end].sort()
@@ -99,7 +99,7 @@ def signatures(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if len(full):
         with np.errstate(over="ignore"):
             for k in range(COORDINATES):
-                out[full, k] = _mix(np.minimum.reduceat(hashes * _FACTORS[k], starts[full]) + _SALT[k])
+                out[full, k] = mix(np.minimum.reduceat(hashes * _FACTORS[k], starts[full]) + _SALT[k])
     return out
 
 
@@ -139,7 +139,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(_confirm, "a long, b long")
+    return both.mapInArrow(lean(_confirm), "a long, b long")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +194,7 @@ def crowd_pairs(crowd: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFram
     """
     spark = crowd.sparkSession
     texts = durable(_texts_of(crowd.select("rep"), texts, reps))
-    counts = texts.mapInArrow(_count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts = texts.mapInArrow(lean(_count), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(COUNTERS, np.int32)
     table[counts.column("counter").to_numpy()] = np.minimum(counts.column("n").to_numpy(), np.iinfo(np.int32).max)
     placed = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast(table)), "rep long, shingle long, place long, before long")
@@ -217,7 +217,7 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """
     ship(df.sparkSession)
     texts = id_text(df, id_col, text_col).withColumn("h", F.xxhash64("text"))
-    docs = durable(texts.mapInArrow(_sketch, "id long, h long, n long, digest binary, sig array<long>"))
+    docs = durable(texts.mapInArrow(lean(_sketch), "id long, h long, n long, digest binary, sig array<long>"))
     one = docs.where("id is not null").groupBy("id").agg(F.min("h").alias("h"))
     full = docs.join(one, ["id", "h"]).where("digest is not null")
     classes = durable(full.groupBy("digest").agg(F.min("id").alias("rep")))

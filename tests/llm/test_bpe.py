@@ -1,12 +1,13 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hypercell.llm import bpe
+from hypercell.llm import bpe, words
 from hypercell.llm.queries import vocabulary
 
 
@@ -21,7 +22,7 @@ def plain(coder):
 
 
 def same(coder, plain, texts):
-    ids, ends = coder.encode(texts)
+    ids, ends = coder.encode(pa.array(texts, pa.string()))
     begin = 0
     for t, e in zip(texts, ends.tolist(), strict=True):
         assert ids[begin:e].tolist() == plain.encode_ordinary(t), t[:80]
@@ -49,8 +50,41 @@ def test_any_text(coder, plain, texts):
 def test_perfect_hash(coder):
     table = coder.table
     assert sorted(table.value.tolist()) == list(range(len(coder.tokens)))  # minimal: every slot has one key
-    off, data = bpe.raw(bpe.pa.array([*coder.tokens[:500], b"\xff\xfe\xfd", b"not a token at all"], bpe.pa.large_binary()))
-    assert table.lookup(off, data).tolist() == [*range(500), -1, -1]
+    wanted = [*coder.tokens[:500], b"\xff\xfe\xfd", b"not a token at all"]
+    lens = np.array([len(w) for w in wanted])
+    starts, buf = np.cumsum(lens) - lens, words.padded(b"".join(wanted))
+    assert table.lookup(words.hash_words(buf, starts, lens), buf, starts, lens).tolist() == [*range(500), -1, -1]
+
+
+def test_little_memory(coder, plain, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BITS", 4)
+    small = bpe.Codec.__new__(bpe.Codec)
+    small.__setstate__(coder.__getstate__())
+    for k in range(3):
+        same(small, plain, [" ".join(f"zq{i}x{k}ü" for i in range(40)), "zqx " * 50, ""])
+
+
+def test_long_texts_in_parts(coder, plain, monkeypatch):
+    monkeypatch.setattr(words, "LONG", 100)
+    monkeypatch.setattr(words.bounded, "__defaults__", (100,))
+    same(coder, plain, ["some words and  more\n\n " * 40, "", "a" * 500, "x y"])
+
+
+def test_another_pattern(coder):
+    own = bpe.Codec.__new__(bpe.Codec)
+    own.__setstate__(coder.__getstate__() | {"pattern": r"\p{L}+|[^\p{L}]+"})
+    same(own, tiktoken.Encoding("own", pat_str=own.pattern, mergeable_ranks=own.ranks, special_tokens={}), ["ab ü漢1 🙂x", "", "  a"])
+
+
+def test_query(spark, plain):
+    from hypercell.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    want = []
+    for r in docs:
+        ids = np.array(plain.encode_ordinary(r["text"] or ""), "<u4")
+        want.append((r["doc_id"], len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest()))
+    assert sorted(tuple(r) for r in queries.op1_byte_bpe(spark, "/root/testdata/sf0.001").collect()) == sorted(want)
 
 
 def test_merge_prefers_the_leftmost_of_equal_ranks():
@@ -59,11 +93,6 @@ def test_merge_prefers_the_leftmost_of_equal_ranks():
     assert bpe.merge(b"aaaa", ranks) == [2, 2]
 
 
-def test_memory_starts_anew(coder, plain, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_SIZE", 3)
-    same(coder, plain, [f"qzx{i}vw wvu{i}" for i in range(50)])
-
-
 def test_odd_rows(odd, none, coder, plain):
     got = sorted(((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in bpe.encode(odd, coder, decoded=True).collect()), key=repr)
     want = sorted(((r["doc_id"], np.array(plain.encode_ordinary(r["text"] or ""), "<u4").tobytes(), (r["text"] or "").encode()) for r in odd.collect()), key=repr)
