@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import ship
+from hypercell.llm.common import lean, ship
 
 TURN, END = "<|turn|>", "<|end|>"
 PARTS = "array<struct<kind:string,text:string,ref:string,amount:long>>"
@@ -135,7 +135,7 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
 
     refs = pa.list_(pa.struct([("place", pa.int32()), ("kind", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())]))
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("formatted", pa.string()), ("start", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("attachments", refs), ("expanded_tokens", pa.int64())])
-    return src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.to_json(F.struct("parts"))).mapInArrow(run, _FORMATTED)
+    return src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.to_json(F.struct("parts"))).mapInArrow(lean(run), _FORMATTED)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def digests(formatted: DataFrame) -> DataFrame:
 
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
     src = formatted.select("conv_id", "formatted", "start", "loss_start", "loss_end")
-    return src.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return src.mapInArrow(lean(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 #: What ``format_turns`` adds around a turn's role and content.

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +15,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch between Spark and Python, so that long texts do not pile up; one longer text stands alone. A smaller
+#: setting of the session stays.
+BATCH_BYTES = 4 << 20
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors once per application, so that Python workers can import it anywhere."""
+    """Hand this package to the executors once per application, so that Python workers can import it anywhere, and bound the batches."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(size).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -34,18 +42,58 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``; when a task ends, its Python worker, which waits for others, gives freed memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
+def _shared(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir``; a folder of our own only where that is unset and all runs on one machine."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if top is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        top = tempfile.mkdtemp(prefix="hypercell-")
+    return top.rstrip("/")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
+    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``, which Spark removes with the table if it is told to
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hypercell-ckpt-"))
+        sc.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's path under ``spark.checkpoint.dir``, which all machines share; under a local one only where that is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hypercell-")
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder's path under ``spark.checkpoint.dir``, which all machines share. It goes when the application ends."""
+    path = f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

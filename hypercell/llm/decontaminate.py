@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hypercell.llm.common import chunks, ship
+from hypercell.llm.common import chunks, lean, ship
 
 #: Words of a window.
 WINDOW = 13

@@ -1,9 +1,9 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks that start from an empty model. In each block the contexts of no, one and two previous ids each
-predict an id; the predictions' hit rates, mixed by weights that follow their success, give the probabilities that a range
-coder codes an id with. An id that no context predicted escapes to an adaptive code of its bit length, then its bits.
-All blocks of a segment are coded side by side in numpy, in whole numbers only, so that results are the same everywhere.
+A segment's ids are numbered by falling frequency (order 0) and cut into blocks, each of which starts from an empty model. In
+a block the contexts of one and two previous ids each predict an id; how sure a context is and how often it was right lately
+give the share of the range that its id gets, and the rest goes to the order-0 frequencies of all ids. All blocks are
+coded side by side in numpy, in whole numbers only, so that results are the same everywhere.
 """
 
 from __future__ import annotations
@@ -16,157 +16,172 @@ import numpy as np
 #: Ids of a block, blocks coded side by side, and the first id that is too large.
 BLOCK, LANES, MAX_ID = 2048, 2048, 1 << 24
 
-_B1, _B2 = 10, 11  # bits of the slots of the contexts of one and two ids
-_TOTAL = 14  # bits of the coder's frequencies
-_WEIGHT = 4000  # of 4096: what the contexts' weights sum up to at most; the rest is left to the escape
-_SIZES = 25  # bit lengths 0 to 24
+_B1, _B2 = 9, 10  # bits of the slots of the contexts of one and two ids
+_TOTAL = 12  # bits of the coder's frequencies
+_ONE = 1 << _TOTAL
+_LOW = 8  # bits of a number within its bucket that are coded at once
+_MOST = _ONE - _ONE // 16  # what one context gets at most
 _RATE = 5
-_LOW16 = np.int64(0xFFFF)
-_SHARE = np.array([0, _WEIGHT, _WEIGHT // 2, _WEIGHT // 3], np.int32)
-# The hit rates from which a context starts, by its confidence.
-_START = np.array([655, 13107, 26214, 36000, 44000, 50000, 56000, 60000], np.int32)
-_EVEN = (np.arange(_SIZES + 1, dtype=np.int32) << _TOTAL) // _SIZES
-# Where the bounds between bit lengths go when a length occurs; every length keeps so much that rounding never closes it.
-_EDGE = np.arange(_SIZES + 1)[None, :] << _RATE
-_GOAL = np.where(_EDGE > np.arange(_SIZES)[:, None] << _RATE, (1 << _TOTAL) - (_SIZES << _RATE) + _EDGE, _EDGE).astype(np.int32)
-
-
-class _Context:
-    """The id that each slot predicts, with a confidence from 0 to 7, and the hit rate of each confidence."""
-
-    def __init__(self, lanes: int, bits: int):
-        self.bits = bits
-        self.base = np.arange(lanes, dtype=np.int64) << bits
-        self.table = np.zeros(lanes << bits, np.uint32)
-        self.base8 = np.arange(lanes, dtype=np.int64) << 3
-        self.rate = np.tile(_START, lanes)
-        self.weight = np.full(lanes, _WEIGHT // 3, np.int32)
-
-    def predict(self, slot: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        self.at = self.base[:k] + slot
-        self.entry = self.table[self.at]
-        self.conf = self.entry & np.uint32(7)
-        self.id = self.entry >> np.uint32(3)
-        self.cell = self.base8[:k] + self.conf
-        self.seen = self.rate[self.cell]
-        return self.id, (self.seen * self.weight[:k]) >> 14
-
-    def update(self, ids: np.ndarray, hit: np.ndarray, share: np.ndarray, any_hit: np.ndarray) -> None:
-        k = len(ids)
-        self.rate[self.cell] = self.seen + ((hit * np.int32(65535) - self.seen) >> _RATE)
-        missed = np.where(self.conf <= 1, (ids << np.uint32(3)) | np.uint32(1), (self.entry & ~np.uint32(7)) | (self.conf >> np.uint32(1)))
-        self.table[self.at] = np.where(hit, self.entry + (self.conf < 7), missed)
-        w = self.weight[:k]
-        w += np.where(any_hit, (hit * share - w) >> _RATE, 0)
+# The range stays between 2 ** 32 and 2 ** 48 from id to id; digits have 16 bits.
+_FLOOR, _BELOW = 1 << 32, (1 << 32) - 1
+# The share at first for each step of confidence, from 1 to 7.
+_START = 512
+_H1, _H2, _H3 = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
+
+
+def bucket(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of ranks that a rank is in, and how many of its bits it leaves open: 16 buckets for each doubling."""
+    open_bits = np.maximum(np.frexp(rank.astype(np.float64))[1] - 5, 0).astype(np.int64)
+    return (open_bits << 4) + (rank >> open_bits), open_bits
+
+
+def _slots(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a = (one * _H1) & 0xFFFFFFFF
+    b = ((one * _H2) ^ (two * _H3 + 1)) & 0xFFFFFFFF
+    return a >> (32 - _B1), ((b * _H1) & 0xFFFFFFFF) >> (32 - _B2)
+
+
+class Order0:
+    """How often each bucket of ranks occurs, in shares of ``_ONE``."""
+
+    def __init__(self, freq: np.ndarray, n_ranks: int):
+        self.freq = freq.astype(np.int64)
+        self.start = np.cumsum(self.freq) - self.freq
+        self.find = np.repeat(np.arange(len(freq)), self.freq)
+        self.rank, self.bits = bucket(np.arange(n_ranks))
+        n = np.arange(len(freq))
+        self.open = np.maximum((n >> 4) - 1, 0)
+        self.first = np.where(n < 32, n, ((n & 15) + 16) << self.open)
+
+    @classmethod
+    def of(cls, counts: np.ndarray) -> "Order0":
+        """``counts`` by rank."""
+        total = np.bincount(bucket(np.arange(len(counts)))[0], counts)
+        freq = np.maximum(1, (total * _ONE // max(1, counts.sum())).astype(np.int64))
+        while (over := int(freq.sum()) - _ONE) > 0:  # ones that were raised are taken from the largest
+            big = np.flatnonzero(freq == freq.max())[0]
+            freq[big] -= min(over, max(1, int(freq[big]) // 2))
+        if len(freq):
+            freq[0] -= int(freq.sum()) - _ONE
+        return cls(freq, len(counts))
 
 
 class _Model:
+    """The contexts of all lanes: the rank that each slot predicts with its confidence, and each context's average share."""
+
     def __init__(self, lanes: int):
-        self.orders = (_Context(lanes, 0), _Context(lanes, _B1), _Context(lanes, _B2))
-        self.one = np.zeros(lanes, np.uint32)
-        self.two = np.zeros(lanes, np.uint32)
-        self.sizes = np.tile(_EVEN, (lanes, 1))
-
-    def predict(self, k: int) -> None:
-        """Predicted ids and the bounds of their frequencies; equal predictions share one."""
-        one, two = self.one[:k], self.two[:k]
-        x0, f0 = self.orders[0].predict(np.zeros(k, np.int64), k)
-        x1, f1 = self.orders[1].predict(((one * np.uint32(0x9E3779B1)) >> np.uint32(32 - _B1)).astype(np.int64), k)
-        x2, f2 = self.orders[2].predict((((one * np.uint32(0x85EBCA6B)) ^ (two * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))) * np.uint32(0x9E3779B1) >> np.uint32(32 - _B2)).astype(np.int64), k)
-        same = x1 == x2
-        f2 = f2 + f1 * same
-        f1 = f1 * ~same
-        same = x0 == x2
-        f2 += f0 * same
-        f0 = f0 * ~same
-        same = x0 == x1
-        f1 += f0 * same
-        f0 *= ~same
-        self.ids = (x2, x1, x0)
-        self.freq = (f2, f1, f0)
-        self.bound = (f2, f2 + f1, f2 + f1 + f0)
-
-    def update(self, ids: np.ndarray) -> None:
-        k = len(ids)
-        x2, x1, x0 = self.ids
-        h2, h1, h0 = ids == x2, ids == x1, ids == x0
-        n = h2.astype(np.int8) + h1 + h0
-        share, any_hit = _SHARE[n], n > 0
-        self.orders[2].update(ids, h2, share, any_hit)
-        self.orders[1].update(ids, h1, share, any_hit)
-        self.orders[0].update(ids, h0, share, any_hit)
-        self.two[:k] = self.one[:k]
-        self.one[:k] = ids
-
-    def learn_size(self, lanes: np.ndarray, size: np.ndarray, bounds: np.ndarray) -> None:
-        self.sizes[lanes] = bounds + ((_GOAL[size] - bounds) >> _RATE)
-
-
-def _bit_length(x: np.ndarray) -> np.ndarray:
-    return np.frexp(x.astype(np.float64))[1].astype(np.int64)  # exact below 2 ** 53
+        self.tables = (np.zeros(lanes << _B1, np.int32), np.zeros(lanes << _B2, np.int32))
+        self.base = (np.arange(lanes, dtype=np.int64) << _B1, np.arange(lanes, dtype=np.int64) << _B2)
+        self.share = (np.full(lanes, _START, np.int32), np.full(lanes, _START, np.int32))
+
+    def predict(self, at: tuple[np.ndarray, np.ndarray], k: int) -> None:
+        """What gets which share: the context of two ids first, that of one id a part of what is left."""
+        self.at, self.k = at, k
+        (t1, t2), (s1, s2), (at1, at2) = self.tables, self.share, at
+        e1, e2 = t1.take(at1, mode="clip"), t2.take(at2, mode="clip")
+        self.entry = (e1, e2)
+        self.conf = c1, c2 = e1 & 7, e2 & 7
+        self.x1, self.x2 = e1 >> 3, e2 >> 3
+        f1, f2 = np.minimum(c1 * s1[:k], _MOST), np.minimum(c2 * s2[:k], _MOST)
+        f1 *= _ONE - f2
+        f1 >>= _TOTAL
+        alike = self.x1 == self.x2
+        np.add(f2, f1, out=f2, where=alike)
+        np.copyto(f1, 0, where=alike)
+        self.f1, self.f2, self.a1 = f1, f2, f1 + f2
+
+    def update(self, x: np.ndarray) -> None:
+        fresh = (x << 3) | 1
+        for table, at, e, c, y, share in zip(self.tables, self.at, self.entry, self.conf, (self.x1, self.x2), self.share, strict=True):
+            hit = x == y
+            hit &= c > 0
+            new = e - 1
+            np.copyto(new, np.minimum(e + 1, e | 7), where=hit)
+            np.copyto(new, fresh, where=(c < 2) & ~hit)
+            table[at] = new
+            s = share[: self.k]
+            step = s >> _RATE
+            np.subtract(step, _ONE >> _RATE, out=step, where=hit)
+            np.subtract(s, step, out=s, where=c > 0)
 
 
 class _Encoder:
-    def __init__(self, lanes: int, steps: int):
+    def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.int64)
-        self.range = np.full(lanes, (1 << 32) - 1, np.int64)
-        # An id takes 42 bits at most: under three digits.
-        self.out = np.zeros((lanes, 3 * steps + 4), np.int32)
-        self.n = np.zeros(lanes, np.int64)
-
-    def put(self, lanes: slice | np.ndarray, start: np.ndarray, freq: np.ndarray, bits: int | np.ndarray) -> None:
-        r = self.range[lanes] >> bits
-        low = self.low[lanes] + r * start
-        rng = r * freq
-        small = np.flatnonzero(rng < 65536)
-        if len(small):
-            who = small if isinstance(lanes, slice) else lanes[small]
-            x = low[small]
-            self.out[who, self.n[who]] = x >> 16  # 17 bits: the carry is settled at the end
-            self.n[who] += 1
-            low[small] = (x & _LOW16) << 16
-            rng[small] <<= 16
-        self.low[lanes] = low
-        self.range[lanes] = rng
+        self.range = np.full(lanes, (1 << 48) - 1, np.int64)
+        self.out: list[tuple[np.ndarray, np.ndarray]] = []  # lanes and their next digits
+
+    def put(self, k: int, start: np.ndarray, freq: np.ndarray) -> None:
+        r = self.range[:k] >> _TOTAL
+        self.low[:k] += r * start
+        np.multiply(r, freq, out=self.range[:k])
+
+    def put_bits(self, k: int, value: np.ndarray, bits: np.ndarray) -> None:
+        r = self.range[:k] >> bits
+        self.low[:k] += r * value
+        self.range[:k] = r
+
+    def settle(self, k: int) -> None:
+        small = np.flatnonzero(self.range[:k] < _FLOOR)
+        while len(small):
+            x, rng = self.low[small], self.range[small] << 16
+            self.out.append((small.astype(np.int32), (x >> 32).astype(np.int32)))  # 17 bits: the carry is settled at the end
+            self.low[small] = (x & _BELOW) << 16
+            self.range[small] = rng
+            small = small[rng < _FLOOR]
 
     def digits(self) -> list[bytes]:
-        who = np.arange(len(self.low))
-        for x in (self.low >> 16, self.low & _LOW16):
-            self.out[who, self.n] = x
-            self.n += 1
-        while (over := self.out >> 16).any():
-            self.out &= 0xFFFF
-            self.out[:, :-1] += over[:, 1:]
-        small = self.out.astype("<u2")
-        return [row[:n].tobytes() for row, n in zip(small, self.n.tolist(), strict=True)]
+        # The range holds a number whose digits but the first are zero.
+        lanes = len(self.low)
+        self.out.append((np.arange(lanes, dtype=np.int32), ((self.low + _BELOW) >> 32).astype(np.int32)))
+        lane, digit = (np.concatenate(x) for x in zip(*self.out, strict=True))
+        digit = digit[np.argsort(lane, kind="stable")]
+        while (over := digit >> 16).any():
+            digit &= 0xFFFF
+            digit[:-1] += over[1:]
+        data, ends = digit.astype("<u2").tobytes(), np.cumsum(np.bincount(lane, minlength=lanes)).tolist()
+        return [data[2 * a : 2 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 class _Decoder:
     def __init__(self, blocks: list[bytes]):
-        lens = [len(b) // 2 for b in blocks]
-        self.data = np.concatenate([*(np.frombuffer(b, "<u2") for b in blocks), np.zeros(4, "<u2")]).astype(np.int64)
-        at = np.concatenate(([0], np.cumsum(lens)[:-1])).astype(np.int64)
-        self.code = (self.data[at] << 16) | self.data[at + 1]
-        self.at = at + 2
-        self.end = at + np.array(lens)
-        self.range = np.full(len(blocks), (1 << 32) - 1, np.int64)
-
-    def look(self, lanes: slice | np.ndarray, bits: int | np.ndarray) -> np.ndarray:
-        self.r = self.range[lanes] >> bits
-        return np.minimum(self.code[lanes] // self.r, (1 << bits) - 1)
-
-    def take(self, lanes: slice | np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
-        code = self.code[lanes] - self.r * start
-        rng = self.r * freq
-        small = np.flatnonzero(rng < 65536)
-        if len(small):
-            who = small if isinstance(lanes, slice) else lanes[small]
-            at = self.at[who]
-            code[small] = (code[small] << 16) | np.where(at < self.end[who], self.data[np.minimum(at, len(self.data) - 1)], 0)
-            self.at[who] = at + 1
-            rng[small] <<= 16
-        self.code[lanes] = code
-        self.range[lanes] = rng
+        lens = np.array([len(b) // 2 for b in blocks], np.int64)
+        # Zeros follow each block's digits.
+        self.width = int(lens.max(initial=0)) + 4
+        grid = np.zeros((len(blocks), self.width), "<u2")
+        grid[np.arange(self.width)[None, :] < lens[:, None]] = np.concatenate([np.frombuffer(b, "<u2") for b in blocks])
+        self.data = grid.ravel()
+        self.at = np.arange(len(blocks), dtype=np.int64) * self.width
+        self.last = self.at + self.width - 1
+        d = [self.data[self.at + i].astype(np.int64) for i in range(3)]
+        self.code = (d[0] << 32) | (d[1] << 16) | d[2]
+        self.at += 3
+        self.range = np.full(len(blocks), (1 << 48) - 1, np.int64)
+
+    def look(self, k: int) -> np.ndarray:
+        self.r = self.range[:k] >> _TOTAL
+        # Exact: both are whole numbers below 2 ** 48 and the quotient has 12 bits.
+        return np.minimum((self.code[:k] / self.r).astype(np.int64), _ONE - 1)
+
+    def take(self, k: int, start: np.ndarray, freq: np.ndarray) -> None:
+        self.code[:k] -= self.r * start
+        np.multiply(self.r, freq, out=self.range[:k])
+
+    def take_bits(self, k: int, bits: np.ndarray) -> np.ndarray:
+        r = self.range[:k] >> bits
+        value = np.minimum((self.code[:k] / r).astype(np.int64), (1 << bits) - 1)
+        self.code[:k] -= r * value
+        self.range[:k] = r
+        return value
+
+    def settle(self, k: int) -> None:
+        small = np.flatnonzero(self.range[:k] < _FLOOR)
+        while len(small):
+            at, rng = self.at[small], self.range[small] << 16
+            self.code[small] = (self.code[small] << 16) | self.data[np.minimum(at, self.last[small])]
+            self.at[small] = at + 1
+            self.range[small] = rng
+            small = small[rng < _FLOOR]
 
 
 def _active(lens: np.ndarray) -> np.ndarray:
@@ -174,84 +189,107 @@ def _active(lens: np.ndarray) -> np.ndarray:
     return len(lens) - np.searchsorted(np.sort(lens), np.arange(int(lens.max(initial=0))), side="right")
 
 
-def encode_blocks(ids: np.ndarray, lens: np.ndarray) -> list[bytes]:
-    """Code consecutive blocks of ``ids`` of the given lengths (longest first) side by side."""
+def _bounds(model: _Model, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the share of a hit, or of what is left to all other ids."""
+    start, freq = model.a1.astype(np.int64), (_ONE - model.a1).astype(np.int64)
+    np.copyto(start, model.f2, where=hit1)
+    np.copyto(freq, model.f1, where=hit1)
+    np.copyto(start, 0, where=hit2)
+    np.copyto(freq, model.f2, where=hit2)
+    return start, freq
+
+
+def encode_blocks(ranks: np.ndarray, lens: np.ndarray, zero: Order0) -> list[bytes]:
+    """Code consecutive blocks of ``ranks`` of the given lengths (longest first) side by side."""
     lanes = len(lens)
     steps = int(lens.max(initial=0))
-    model, coder = _Model(lanes), _Encoder(lanes, steps)
-    grid = np.zeros((lanes, steps), np.uint32)
-    grid[np.arange(steps)[None, :] < lens[:, None]] = ids
+    model, coder = _Model(lanes), _Encoder(lanes)
+    grid = np.zeros((lanes, steps), np.int32)
+    grid[np.arange(steps)[None, :] < lens[:, None]] = ranks
     grid = np.ascontiguousarray(grid.T)
-    one = 1 << _TOTAL
-    for t, k in enumerate(_active(lens).tolist()):
-        x = grid[t, :k]
-        model.predict(k)
-        (x2, x1, x0), (f2, f1, f0), (a1, a2, a3) = model.ids, model.freq, model.bound
-        s2, s1, s0 = (x == x2) & (f2 > 0), (x == x1) & (f1 > 0), (x == x0) & (f0 > 0)
-        start = np.where(s2, 0, np.where(s1, a1, np.where(s0, a2, a3)))
-        freq = np.where(s2, f2, np.where(s1, f1, np.where(s0, f0, one - a3)))
-        coder.put(slice(0, k), start, freq, _TOTAL)
-        rest = np.flatnonzero(~(s2 | s1 | s0))
-        if len(rest):
-            y = x[rest].astype(np.int64)
-            size = _bit_length(y)
-            bounds = model.sizes[rest]
-            row = np.arange(len(rest))
-            lo = bounds[row, size]
-            coder.put(rest, lo, bounds[row, size + 1] - lo, _TOTAL)
-            model.learn_size(rest, size, bounds)
-            bits = np.maximum(size - 1, 0)
-            long = np.flatnonzero(bits > 12)
-            coder.put(rest, (y & ((1 << bits) - 1)) >> np.maximum(bits - 12, 0), np.ones(len(rest), np.int64), np.minimum(bits, 12))
-            if len(long):
-                coder.put(rest[long], y[long] & ((1 << (bits[long] - 12)) - 1), np.ones(len(long), np.int64), bits[long] - 12)
-        model.update(x)
+    active = _active(lens).tolist()
+    one = np.zeros((2, lanes), np.int64)
+    wide_ranks = int(zero.bits.max(initial=0)) > _LOW
+    for begin in range(0, steps, 64):  # what does not hang on the model, for many steps at once
+        part = grid[begin : begin + 64]
+        wide = np.concatenate([one, part])
+        one = wide[-2:]
+        at1, at2 = _slots(wide[1:-1], wide[:-2])
+        at1 += model.base[0]
+        at2 += model.base[1]
+        of, bits = zero.rank[part], zero.bits[part]
+        start, freq = zero.start[of], zero.freq[of]
+        rest = part - zero.first[of]
+        for t in range(len(part)):
+            k = active[begin + t]
+            x = part[t, :k]
+            model.predict((at1[t, :k], at2[t, :k]), k)
+            hit2, hit1 = (x == model.x2) & (model.f2 > 0), (x == model.x1) & (model.f1 > 0)
+            known = hit2 | hit1
+            coder.put(k, *_bounds(model, hit2, hit1))
+            # An id that a context predicted takes nothing of these.
+            s, f, b, value = start[t, :k], freq[t, :k], bits[t, :k], rest[t, :k]
+            np.copyto(s, 0, where=known)
+            np.copyto(f, _ONE, where=known)
+            np.copyto(b, 0, where=known)
+            np.copyto(value, 0, where=known)
+            coder.put(k, s, f)
+            if wide_ranks:
+                low = np.minimum(b, _LOW)
+                coder.put_bits(k, value & ((1 << low) - 1), low)
+                coder.settle(k)
+                coder.put_bits(k, value >> low, b - low)
+            else:
+                coder.put_bits(k, value, b)
+            coder.settle(k)
+            model.update(x)
     return coder.digits()
 
 
-def decode_blocks(blocks: list[bytes], lens: np.ndarray) -> np.ndarray:
-    """The ids of blocks of the given lengths (longest first), one after another."""
+def decode_blocks(blocks: list[bytes], lens: np.ndarray, zero: Order0) -> np.ndarray:
+    """The ranks of blocks of the given lengths (longest first), one after another."""
     lanes = len(lens)
     steps = int(lens.max(initial=0))
     model, coder = _Model(lanes), _Decoder(blocks)
-    grid = np.zeros((steps, lanes), np.uint32)
-    one = 1 << _TOTAL
+    grid = np.zeros((steps, lanes), np.int32)
+    one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    wide_ranks = int(zero.bits.max(initial=0)) > _LOW
     for t, k in enumerate(_active(lens).tolist()):
-        model.predict(k)
-        (x2, x1, x0), (f2, f1, f0), (a1, a2, a3) = model.ids, model.freq, model.bound
-        v = coder.look(slice(0, k), _TOTAL)
-        in2, in1, in0 = v < a1, v < a2, v < a3
-        x = np.where(in2, x2, np.where(in1, x1, x0))
-        coder.take(slice(0, k), np.where(in2, 0, np.where(in1, a1, np.where(in0, a2, a3))), np.where(in2, f2, np.where(in1, f1, np.where(in0, f0, one - a3))))
-        rest = np.flatnonzero(~in0)
-        if len(rest):
-            bounds = model.sizes[rest]
-            v = coder.look(rest, _TOTAL)
-            size = (bounds[:, 1:] <= v[:, None]).sum(axis=1)
-            row = np.arange(len(rest))
-            lo = bounds[row, size]
-            coder.take(rest, lo, bounds[row, size + 1] - lo)
-            model.learn_size(rest, size, bounds)
-            bits = np.maximum(size - 1, 0)
-            ones = np.ones(len(rest), np.int64)
-            high = coder.look(rest, np.minimum(bits, 12))
-            coder.take(rest, high, ones)
-            y = np.where(size > 0, np.int64(1) << bits, 0) | (high << np.maximum(bits - 12, 0))
-            long = np.flatnonzero(bits > 12)
-            if len(long):
-                more = coder.look(rest[long], bits[long] - 12)
-                coder.take(rest[long], more, ones[: len(long)])
-                y[long] |= more
-            x[rest] = y
+        at1, at2 = _slots(one[:k], two[:k])
+        model.predict((at1 + model.base[0][:k], at2 + model.base[1][:k]), k)
+        v = coder.look(k)
+        hit2 = v < model.f2
+        known = v < model.a1
+        hit1 = known & ~hit2
+        coder.take(k, *_bounds(model, hit2, hit1))
+        of = zero.find.take(coder.look(k), mode="clip")
+        s, f, b = zero.start.take(of), zero.freq.take(of), zero.open.take(of)
+        np.copyto(s, 0, where=known)
+        np.copyto(f, _ONE, where=known)
+        np.copyto(b, 0, where=known)
+        coder.take(k, s, f)
+        if wide_ranks:
+            low = np.minimum(b, _LOW)
+            value = coder.take_bits(k, low)
+            coder.settle(k)
+            value |= coder.take_bits(k, b - low) << low
+        else:
+            value = coder.take_bits(k, b)
+        coder.settle(k)
+        x = (zero.first.take(of) + value).astype(np.int32)
+        np.copyto(x, model.x1, where=hit1)
+        np.copyto(x, model.x2, where=hit2)
         grid[t, :k] = x
         model.update(x)
+        two[:k] = one[:k]
+        one[:k] = x
     flat = np.ascontiguousarray(grid.T)
     return flat[np.arange(steps)[None, :] < lens[:, None]]
 
 
-# A segment: magic, documents, ids, blocks, bytes of the packed index; the index (document ids, then ids in each document; zlib);
-# of each block ids, bytes and CRC-32 of its ids; the blocks.
-_MAGIC = b"HCI1"
+# A segment: magic, documents, ids, blocks, bytes of the packed index; the index (document ids, then ids in each document, the number of
+# distinct ids, differences of these by falling frequency, shares of their buckets; zlib); of each block ids, bytes and CRC-32 of its ids; the blocks.
+_MAGIC = b"HCI2"
 _HEAD = struct.Struct("<4sIQII")
 
 
@@ -259,16 +297,22 @@ def pack(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, block: int =
     """A segment of whole documents."""
     if len(ids) and int(ids.max()) >= MAX_ID:
         raise ValueError(f"ids from {MAX_ID} on cannot be coded")
+    often = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    order = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]
+    zero = Order0.of(often[order])
+    order = order[np.lexsort((order, zero.rank))]  # within a bucket by id
+    rank = np.zeros(len(often), np.int32)
+    rank[order] = np.arange(len(order))
     n_blocks = -(-len(ids) // block)
     lens = np.full(n_blocks, block, np.int64)
     if n_blocks:
         lens[-1] = len(ids) - block * (n_blocks - 1)
     coded: list[bytes] = []
     for a in range(0, n_blocks, LANES):
-        coded += encode_blocks(ids[a * block : (a + LANES) * block], lens[a : a + LANES])
+        coded += encode_blocks(rank[ids[a * block : (a + LANES) * block]], lens[a : a + LANES], zero)
     plain = ids.astype("<u4")
     sums = [zlib.crc32(plain[i * block : (i + 1) * block]) for i in range(n_blocks)]
-    index = zlib.compress(doc_ids.astype("<i8").tobytes() + counts.astype("<u8").tobytes(), 1)
+    index = zlib.compress(b"".join([doc_ids.astype("<i8").tobytes(), counts.astype("<u8").tobytes(), struct.pack("<I", len(order)), np.diff(order, prepend=0).astype("<i4").tobytes(), zero.freq.astype("<u2").tobytes()]), 6)
     table = np.array([lens, [len(c) for c in coded], sums], "<u4").T.tobytes() if n_blocks else b""
     return b"".join([_HEAD.pack(_MAGIC, len(doc_ids), len(ids), n_blocks, len(index)), index, table, *coded])
 
@@ -279,8 +323,14 @@ def unpack(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if magic != _MAGIC:
         raise ValueError("not a segment of ids")
     at = _HEAD.size
-    index = zlib.decompress(segment[at : at + n_index])
-    docs, counts = np.frombuffer(index[: 8 * n_docs], "<i8"), np.frombuffer(index[8 * n_docs :], "<u8").astype(np.int64)
+    try:
+        index = zlib.decompress(segment[at : at + n_index])
+    except zlib.error as e:
+        raise ValueError("the segment's index is damaged") from e
+    docs, counts = np.frombuffer(index, "<i8", n_docs), np.frombuffer(index, "<u8", n_docs, 8 * n_docs).astype(np.int64)
+    (n_known,) = struct.unpack_from("<I", index, 16 * n_docs)
+    known = np.cumsum(np.frombuffer(index, "<i4", n_known, 16 * n_docs + 4))
+    zero = Order0(np.frombuffer(index, "<u2", -1, 16 * n_docs + 4 + 4 * n_known), n_known)
     at += n_index
     table = np.frombuffer(segment, "<u4", 3 * n_blocks, at).reshape(n_blocks, 3).astype(np.int64)
     at += 12 * n_blocks
@@ -289,7 +339,8 @@ def unpack(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for a in range(0, n_blocks, LANES):
         rows = range(a, min(a + LANES, n_blocks))
         lens = table[a : a + LANES, 0]
-        got = decode_blocks([segment[ends[i] - table[i, 1] : ends[i]] for i in rows], lens).astype("<u4")
+        ranks = decode_blocks([segment[ends[i] - table[i, 1] : ends[i]] for i in rows], lens, zero)
+        got = known[np.minimum(ranks, n_known - 1)].astype("<u4")
         begin = 0
         for i, n in zip(rows, lens.tolist(), strict=True):
             if zlib.crc32(got[begin : begin + n]) != table[i, 2]:

@@ -10,18 +10,17 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hypercell.llm import idcoder
-from hypercell.llm.common import chunks, id_text, ragged, ship
+from hypercell.llm import idcoder, words
+from hypercell.llm.common import chunks, id_text, lean, ragged, raw, ship
 
 #: Bytes of text that a worker tokenizes at once, and ids from which on a segment is closed behind a document.
-CHUNK_BYTES, SEGMENT_IDS = 2 << 20, 4 << 20
-#: Pre-tokens whose ids a worker remembers; the memory starts anew when it is full.
-MEMO_SIZE = 300_000
+CHUNK_BYTES, SEGMENT_IDS = 1 << 20, 4 << 20
+#: Two to this power are the slots for pieces whose ids a worker remembers; the memory starts anew when half of them are used.
+MEMO_BITS = 20
 #: Largest tokenizer file that is broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 
@@ -29,57 +28,108 @@ MAX_TOKENIZER_BYTES = 64 << 20
 class Tokens:
     """Ids of texts by the tokenizers library.
 
-    A byte-level tokenizer without normaliser splits a text by a pattern and encodes each piece on its own; each distinct
-    piece of a chunk is then encoded once. Other tokenizers get the texts as they are.
+    A byte-level tokenizer without normaliser splits a text by ``words.PATTERN`` and encodes each piece on its own; each distinct
+    piece is then encoded once, by the library. Texts in which a string of an added token occurs, and all texts of other tokenizers,
+    go to the library as they are.
     """
 
-    def __init__(self, definition: str, pattern: str):
+    def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         pre = repr(self.tokenizer.pre_tokenizer).replace(" ", "")
         self.by_piece = self.tokenizer.normalizer is None and pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre
-        self.split = regex.compile(pattern).findall
-        self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Bytes as the characters that a byte-level vocabulary writes them with: printable ones stand for themselves.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.chars = [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = words.Seen(MEMO_BITS)
+        self.at, self.n = np.empty(1 << (MEMO_BITS - 1), np.int64), np.empty(1 << (MEMO_BITS - 1), np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
+
+    def _words(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each piece by the library's model, which is what follows the split."""
+        data = buf[ragged(starts, lens)].tobytes().decode("latin-1").translate(self.chars)
+        tokenize = self.tokenizer.model.tokenize
+        ends = np.cumsum(lens).tolist()
+        found = [[t.id for t in tokenize(data[a:b])] for a, b in zip([0, *ends], ends)]  # noqa: B905
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
+
+    def _learn(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+        _, one = np.unique(h, return_index=True)
+        one = one[: self.known.room]
+        starts, lens = starts[one], lens[one]
+        ids, n = self._words(buf, starts, lens)
+        new = slice(self.known.n, self.known.n + len(one))
+        self.known.add(h[one], buf, starts, lens)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(self.used + len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.at[new], self.n[new] = self.used + np.cumsum(n) - n, n
+        self.used += len(ids)
+
+    def _pieces(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in order, and how many each has."""
+        h = words.hash_words(buf, starts, lens)
+        entry = self.known.find(h, buf, starts, lens)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            if len(new) > self.known.room:
+                self._forget()
+                new = np.arange(len(h))
+            self._learn(h[new], buf, starts[new], lens[new])
+            entry = self.known.find(h, buf, starts, lens)
+            if (entry < 0).any():  # two pieces share a hash
+                return self._words(buf, starts, lens)
+        n = self.n[entry]
+        return self.ids[ragged(self.at[entry], n)], n
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
-        if not self.by_piece:
-            found = self._encode(texts)
-            return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
-        pieces = [self.split(t) for t in texts]
-        words = np.array([len(p) for p in pieces], np.int64)
-        if not words.sum():
-            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        coded = pc.dictionary_encode(pa.array(chain.from_iterable(pieces), pa.large_string(), size=int(words.sum())))
-        del pieces
-        index, distinct = np.asarray(coded.indices), coded.dictionary.to_pylist()
-        if len(self.known) > MEMO_SIZE:
-            self.known.clear()
-            self.lens, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
-        elif not self.known:
-            self.lens, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            got = self._encode(new)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.lens = np.concatenate([self.lens, np.array([len(g) for g in got], np.int64)])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32)])
-        at = np.cumsum(self.lens) - self.lens
-        place = np.array([self.known[w] for w in distinct], np.int64)[index]
-        n = self.lens[place]
-        ids = self.ids[ragged(at[place], n)]
-        per_word = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(words)))]
-        return ids, np.diff(per_word)
-
-
-def write(df: DataFrame, path: str, definition: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
+        off, data = raw(texts)
+        if not self.by_piece or any(data.tobytes().find(t) >= 0 for t in self.added):
+            ids, n = zip(*(self._encode([t]) for t in texts.to_pylist()), strict=True) if len(texts) else ((), ())
+            return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([k.sum() for k in n], np.int64)
+        if len(data) <= words.LONG:
+            return self._texts(off, data)
+        got, n = [np.empty(0, np.uint32)], []
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            parts = [self._texts(np.array([0, len(p)]), np.frombuffer(p, np.uint8))[0] for p in words.bounded(data[a:b].tobytes())]
+            got += parts
+            n.append(sum(map(len, parts)))
+        return np.concatenate(got), np.array(n, np.int64)
+
+    def _texts(self, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = words.cut(data, off[1:])
+        lens = np.diff(starts, append=len(data))
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(off) - 1, np.int64)
+        ids, n = self._pieces(words.padded(data), starts, lens)
+        ends = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(starts, off)]
+        return ids, np.diff(ends)
+
+
+_live: dict[str, Tokens] = {}
+
+
+def tokens(definition: str) -> Tokens:
+    """This process's encoder, which keeps what it has seen from task to task."""
+    if definition not in _live:
+        _live.clear()
+        _live[definition] = Tokens(definition)
+    return _live[definition]
+
+
+def write(df: DataFrame, path: str, definition: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Tokenize and write to the folder ``path``, through Spark's writer, so that a lost or repeated task leaves nothing behind.
 
     The rows of the files are segments (``file``, ``seq``, ``n_ids`` and ``segment``, see ``idcoder``) of whole documents, in the
@@ -90,7 +140,7 @@ def write(df: DataFrame, path: str, definition: str, pattern: str, end_id: int =
     ship(spark)
     if len(definition.encode()) > MAX_TOKENIZER_BYTES:
         raise ValueError("the tokenizer's file is too large")
-    shared = spark.sparkContext.broadcast((definition, pattern))
+    shared = spark.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
@@ -111,8 +161,8 @@ def write(df: DataFrame, path: str, definition: str, pattern: str, end_id: int =
 
         for batch in batches:
             for piece in chunks(batch, 1, CHUNK_BYTES):
-                coder = coder or Tokens(*shared.value)
-                found, n = coder.encode(piece.column(1).to_pylist())
+                coder = coder or tokens(shared.value)
+                found, n = coder.encode(piece.column(1))
                 ends = np.cumsum(n + 1)
                 whole = np.full(int(ends[-1]), end_id, np.uint32)
                 mine = np.ones(len(whole), bool)
@@ -128,7 +178,7 @@ def write(df: DataFrame, path: str, definition: str, pattern: str, end_id: int =
             yield close()
 
     src = id_text(df, id_col, text_col).repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    src.mapInArrow(run, "file int, seq int, n_ids long, segment binary").write.mode("overwrite").parquet(path)
+    src.mapInArrow(lean(run), "file int, seq int, n_ids long, segment binary").write.mode("overwrite").parquet(path)
 
 
 def read(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFrame:
@@ -161,4 +211,4 @@ def read(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFrame:
                     out.append(pa.array([data[4 * (e - n) : 4 * e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, ["id", "start", "n_ids", "crc32", "ids"][: len(out)])
 
-    return src.mapInArrow(run, "id long, start long, n_ids long, crc32 long" + ", ids binary" * keep_ids)
+    return src.mapInArrow(lean(run), "id long, start long, n_ids long, crc32 long" + ", ids binary" * keep_ids)

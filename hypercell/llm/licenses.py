@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import chunks, id_text, ship
+from hypercell.llm.common import chunks, id_text, lean, ship
 from hypercell.llm.decontaminate import NORMAL
 
 # Equivalent spellings: each first form counts as the second.
@@ -129,7 +129,7 @@ def matches(df: DataFrame, known: Sequence[tuple[str, str]] = KNOWN, id_col: str
     right = spark.createDataFrame([(n, bytes.fromhex(h)) for n, h in table], "license string, digest binary")
     if len(table) <= 10_000:
         right = F.broadcast(right)
-    found = id_text(df, id_col, text_col).mapInArrow(run, "id long, unit string, place long, digest binary")
+    found = id_text(df, id_col, text_col).mapInArrow(lean(run), "id long, unit string, place long, digest binary")
     return found.join(right, "digest").select(F.col("id").alias(id_col), "unit", "place", "license")
 
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import chunks, durable, ship
+from hypercell.llm.common import chunks, durable, lean, ship
 
 #: Leading tokens that lead to a leaf, and the fewest tokens of a line that is parsed.
 DEPTH, MIN_TOKENS = 3, 4
@@ -115,12 +115,12 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", var
     """
     ship(df.sparkSession)
     texts = _keyed(df, id_col, text_col)
-    lines = durable(texts.mapInArrow(_leaves, "id long, h long, line int, leaf long"))
+    lines = durable(texts.mapInArrow(lean(_leaves), "id long, h long, line int, leaf long"))
     # Lines of a leaf are at least as many as its documents; what this lets through is counted again below.
     often = durable(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf"))
     wanted = lines.join(often, "leaf").groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
     found = texts.join(wanted, ["id", "h"]).select("id", "h", "text", "lines")
-    found = durable(found.mapInArrow(_tokens, "id long, h long, line int, leaf long, masked string, fresh array<int>"))
+    found = durable(found.mapInArrow(lean(_tokens), "id long, h long, line int, leaf long, masked string, fresh array<int>"))
 
     placed = found.select("leaf", "fresh", F.posexplode(F.split("masked", " ")).alias("place", "token")).where(F.col("fresh").isNull() | F.array_contains("fresh", F.col("place")))
     stays = placed.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)

@@ -108,7 +108,7 @@ def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch(spark, "ids")
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        idfiles.write(_table(spark, sf_dir, "documents"), path, f.read(), public_tokenizers.PATTERN, end_id=0)
+        idfiles.write(_table(spark, sf_dir, "documents"), path, f.read(), end_id=0)
     return idfiles.read(spark, path, keep_ids=False).select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hypercell.llm.common import chunks, id_text, ship
+from hypercell.llm.common import chunks, id_text, lean, ship
 
 # Fixed values of the formats (WAVE format tags; IMA ADPCM step sizes and index changes).
 PCM, ALAW, MULAW, IMA_ADPCM = 1, 6, 7, 17
@@ -175,7 +175,7 @@ def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", codec:
                     media.append(wav(data, codec or CODECS[zlib.crc32(data) % len(CODECS)]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return id_text(df, id_col, text_col).mapInArrow(lean(run), "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
 def load(df: DataFrame, media_col: str = "media", rate: int = PCM_RATE) -> DataFrame:
@@ -206,4 +206,4 @@ def load(df: DataFrame, media_col: str = "media", rate: int = PCM_RATE) -> DataF
                 yield pa.RecordBatch.from_arrays([*part.columns, *out], [*part.schema.names, *new])
 
     added = [T.StructField("payload", T.BinaryType()), T.StructField("pcm", T.BinaryType()), T.StructField("feature", T.StringType())]
-    return src.mapInArrow(run, T.StructType([*src.schema.fields, *added]))
+    return src.mapInArrow(lean(run), T.StructType([*src.schema.fields, *added]))

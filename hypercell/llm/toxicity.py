@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import chunks, id_text, ship
+from hypercell.llm.common import chunks, id_text, lean, ship
 from hypercell.llm.labelled import MAX_TRAINING_ROWS, sample, with_labels
 
 #: Most candidate terms, and most terms of the lexicon.
@@ -178,7 +178,7 @@ def _counted(src: DataFrame, only: dict[str, int] | None) -> DataFrame:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "docs"])
 
-    return src.select("text").mapInArrow(run, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
+    return src.select("text").mapInArrow(lean(run), "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
 def lower_bound(a: int, n: int) -> float:
@@ -223,7 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
             got = [shared.value.hits(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64())], ["id", "t", "h", "n"])
 
-    got = sorted((r["id"], list(r["t"]), r["h"], r["n"]) for r in src.select("id", "text").mapInArrow(run, "id long, t array<int>, h long, n long").toLocalIterator())
+    got = sorted((r["id"], list(r["t"]), r["h"], r["n"]) for r in src.select("id", "text").mapInArrow(lean(run), "id long, t array<int>, h long, n long").toLocalIterator())
     found = [(t, h, n) for _, t, h, n in got]
     v, side = votes(found, k)
     posterior = fit_label_model(v, side).posterior(v)
@@ -243,4 +243,4 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
             for part in chunks(batch, 1, 4 << 20):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(m.score(part.column(1).to_pylist()))], ["id", "score"])
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
+    return id_text(df, id_col, text_col).mapInArrow(lean(run), "id long, score double").withColumnRenamed("id", id_col)

@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,7 +29,8 @@ def test_any_ids_come_back(ids, block):
 
 def test_predictable_ids_are_small():
     rng = np.random.default_rng(0)
-    for ids, most in ((np.zeros(20_000, int), 0.3), (np.tile([5, 6, 5, 7, 8, 900], 4000), 0.6), (rng.integers(0, 50_000, 20_000), 18.5), (rng.zipf(1.3, 20_000) % 50_000, 9.0)):
+    # The numbers of distinct ids come with each segment, which counts in one so small.
+    for ids, most in ((np.zeros(20_000, int), 0.3), (np.tile([5, 6, 5, 7, 8, 900], 4000), 0.6), (rng.integers(0, 50_000, 20_000), 20), (rng.zipf(1.3, 20_000) % 50_000, 8.3)):
         back(ids)
         assert 8 * len(C.pack(np.array([1]), np.array([len(ids)]), ids.astype(np.uint32))) <= most * len(ids)
 
@@ -39,8 +42,29 @@ def test_many_lanes_and_carries(monkeypatch):
 
 def test_blocks_stand_alone():
     ids = np.random.default_rng(4).integers(0, 1000, 300, dtype=np.uint32)
-    whole = C.encode_blocks(ids, np.array([100, 100, 100]))
-    assert whole[1] == C.encode_blocks(ids[100:200], np.array([100]))[0]
+    zero = C.Order0.of(np.ones(1000, np.int64))
+    whole = C.encode_blocks(ids, np.array([100, 100, 100]), zero)
+    assert whole[1] == C.encode_blocks(ids[100:200], np.array([100]), zero)[0]
+    assert C.decode_blocks(whole[1:2], np.array([100]), zero).tolist() == ids[100:200].tolist()
+
+
+def test_every_rank_has_a_bucket():
+    ranks = np.concatenate([np.arange(70_000), np.arange(C.MAX_ID - 50, C.MAX_ID)])
+    of, bits = C.bucket(ranks)
+    zero = C.Order0.of(np.ones(1000, np.int64))
+    assert zero.freq.sum() == 1 << 12 and zero.freq.min() > 0
+    n = np.arange(int(of.max()) + 1)
+    first = np.where(n < 32, n, ((n & 15) + 16) << np.maximum((n >> 4) - 1, 0))
+    assert ((ranks >= first[of]) & (ranks < first[of] + (1 << bits))).all()
+
+
+def test_smaller_than_zlib_on_real_ids():
+    """Against zlib on the same ids as 16-bit numbers, in the same blocks and as a whole."""
+    text = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    ids, _ = idfiles.tokens(DEFINITION).encode(text if isinstance(text, pa.Array) else text.chunk(0))
+    coded = len(C.pack(np.array([1]), np.array([len(ids)]), ids))
+    blocks = sum(len(zlib.compress(ids[i : i + C.BLOCK].astype("<u2").tobytes(), 9)) for i in range(0, len(ids), C.BLOCK))
+    assert coded < 0.8 * blocks and coded < 0.95 * len(zlib.compress(ids.astype("<u2").tobytes(), 9))
 
 
 def test_damage_is_noticed():
@@ -57,22 +81,39 @@ def test_damage_is_noticed():
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_str(DEFINITION)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
+def check(tokens, texts, plain):
+    ids, n = tokens.encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(n)
+    for t, e, k in zip(texts, ends.tolist(), n.tolist(), strict=True):
+        assert ids[e - k : e].tolist() == plain(t), t
+
+
 def test_pieces_as_whole_texts(plain, monkeypatch):
-    tokens = idfiles.Tokens(DEFINITION, public_tokenizers.PATTERN)
-    assert tokens.by_piece
     points = [c for c in range(0x300)] + [c for c in range(0x300, 0x110000, 401) if not 0xD800 <= c < 0xE000]
-    texts = ["", "It's  a\n\n test’s  \t 123", "<|endoftext|> x", " ", "\x1c a \x85 b", *[f"a{chr(c)} {chr(c)}1{chr(c)}" for c in points]]
-    for size in (idfiles.MEMO_SIZE, 2):
-        monkeypatch.setattr(idfiles, "MEMO_SIZE", size)
+    texts = ["", "It's  a\n\n test’s  \t 123", " ", "\x1c a \x85 b", "we'll 're''s 'd'tis", *[f"a{chr(c)} {chr(c)}1{chr(c)}" for c in points]]
+    for bits in (idfiles.MEMO_BITS, 9):
+        monkeypatch.setattr(idfiles, "MEMO_BITS", bits)
+        tokens = idfiles.Tokens(DEFINITION)
+        assert tokens.by_piece
         for _ in range(2):
-            ids, n = tokens.encode(texts)
-            ends = np.cumsum(n)
-            for t, e, k in zip(texts, ends.tolist(), n.tolist(), strict=True):
-                assert ids[e - k : e].tolist() == plain(t), t
+            check(tokens, texts, plain)
+            for part in range(0, len(texts), 50):
+                check(tokens, texts[part : part + 50], plain)
+
+
+def test_long_texts_in_parts(plain, monkeypatch):
+    monkeypatch.setattr(idfiles.words, "LONG", 100)
+    monkeypatch.setattr(idfiles.words.bounded, "__defaults__", (100,))
+    check(idfiles.Tokens(DEFINITION), ["some words and  more\n\n " * 40, "", "a" * 500, "x y"], plain)
+
+
+def test_added_tokens_are_the_librarys(plain):
+    """The library's defaults hold: a special token's string in a text is that token."""
+    assert plain("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    check(idfiles.Tokens(DEFINITION), ["hello <|endoftext|> world", "x", "<|endoftext|>", ""], plain)
 
 
 def expected(rows, plain):
@@ -92,11 +133,11 @@ def test_files(spark, odd, none, plain, tmp_path, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     for k, df in enumerate((odd, docs.repartition(5))):
         path = str(tmp_path / f"f{k}")
-        idfiles.write(df, path, DEFINITION, public_tokenizers.PATTERN)
+        idfiles.write(df, path, DEFINITION)
         got = idfiles.read(spark, path)
         assert rows(got) == expected(df.collect(), plain)
         assert all(zlib.crc32(r["ids"]) == r["crc32"] and len(r["ids"]) == 4 * r["n_ids"] for r in got.collect())
-    idfiles.write(none, str(tmp_path / "none"), DEFINITION, public_tokenizers.PATTERN)
+    idfiles.write(none, str(tmp_path / "none"), DEFINITION)
     assert idfiles.read(spark, str(tmp_path / "none")).collect() == []
 
 
