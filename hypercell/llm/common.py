@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 #: setting of the session stays.
 BATCH_BYTES = 4 << 20
 
+#: Rows that are broadcast after counting them, and in how many parts a possibly hot key is dealt beyond.
+BROADCAST_ROWS, SALTS = 200_000, 16
+
 _SHIPPED: set[str] = set()
 
 
@@ -96,6 +99,17 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def spread(left: DataFrame, right: DataFrame, on: list[str], *by: str, how: str = "inner") -> DataFrame:
+    """A join whose left side may hold a key in a great share of its rows. ``right`` has each key once or a few times, and a checkpoint
+    behind it: counted, it is broadcast if it is small; else its rows are repeated, and the left's rows of a key, dealt by the columns
+    ``by``, meet one of them each."""
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on, how)
+    left = left.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return left.join(right, [*on, "salt"], how).drop("salt")
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, as ``id`` and ``text``; a null text counts as empty. Other columns cannot clash."""
     return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -2,26 +2,30 @@
 
 A line's leaf is its number of tokens and its leading tokens, where tokens with digits count as variable. Within a leaf, the
 tokens that recur at their place stay and the others become variable fields; lines whose template recurs across
-documents are dropped, but for the document of the smallest id.
+documents are dropped, but for the document of the smallest id. Templates are made once for each distinct masked line, and a
+line without a recurring template of its own joins the most similar one of its leaf.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import chunks, durable, lean, ship
+from hypercell.llm.common import BROADCAST_ROWS, chunks, durable, lean, ship, spread
 
-#: Leading tokens that lead to a leaf, and the fewest tokens of a line that is parsed.
-DEPTH, MIN_TOKENS = 3, 4
+#: Leading tokens that lead to a leaf.
+DEPTH = 3
+#: Fewest characters, white space apart, of a line that is parsed: shorter ones ("And.") recur by chance.
+MIN_CHARS = 10
 #: Documents in which a template recurs, and in which a token must recur at its place to stay in it.
 MIN_DOCS = 8
-#: Least share of a template's tokens that are not variable, in hundredths.
+#: Least share of a template's tokens that are not variable, in hundredths, and of these that a variant shares.
 CONSTANT = 70
 #: A line of more tokens is too long to recur by chance: its exact repeats count from two documents on.
 LONG = 50
@@ -32,8 +36,9 @@ _DIGIT = re.compile(r"[0-9]")
 
 
 def tokens(line: str) -> list[str]:
-    """Tokens of a line; those with digits are variable fields."""
-    return [FIELD if _DIGIT.search(t) else t for t in _TOKEN.findall(line)]
+    """Tokens of a line; those with digits are variable fields. A line that is not parsed has none."""
+    found = _TOKEN.findall(line)
+    return [FIELD if _DIGIT.search(t) else t for t in found] if sum(map(len, found)) >= MIN_CHARS else []
 
 
 def leaf(found: list[str]) -> int:
@@ -43,27 +48,32 @@ def leaf(found: list[str]) -> int:
 
 
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that are parsed, with their leaf and, of long ones, a digest of the line as it stands."""
     for batch in batches:
-        for part in chunks(batch, 2, 4 << 20):
-            ids, hashes, lines, keys = [], [], [], []
+        for part in chunks(batch, 2, 2 << 20):
+            ids, hashes, lines, keys, exact = [], [], [], [], []
             for i, h, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for k, line in enumerate(text.split("\n")):
                     found = tokens(line)
-                    if len(found) >= MIN_TOKENS:
+                    if found:
                         ids.append(i)
                         hashes.append(h)
                         lines.append(k)
                         keys.append(leaf(found))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64())], ["id", "h", "line", "leaf"])
+                        exact.append(hashlib.md5(line.encode()).digest() if len(found) > LONG else None)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(exact, pa.binary())], ["id", "h", "line", "leaf", "exact"])
+
+
+_LINES = "id long, h long, line int, leaf long, exact binary"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Wanted lines as masked tokens joined by spaces, and the places whose token is new in its document's lines of the leaf
-    (null: all of them)."""
+    """Wanted lines as masked tokens joined by spaces with their digest, and the places whose token is new in its text's lines of the
+    leaf (null: all of them)."""
     for batch in batches:
-        for part in chunks(batch, 2, 4 << 20):
-            ids, hashes, lines, keys, found, fresh = [], [], [], [], [], []
-            for i, h, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
+        for part in chunks(batch, 2, 2 << 20):
+            ids, hashes, lines, keys, found, digest, many, fresh = [], [], [], [], [], [], [], []
+            for i, h, text, wanted, m in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 split = text.split("\n")
                 seen: dict[int, set[tuple[int, str]]] = {}
                 for k in wanted:
@@ -73,12 +83,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     before = seen.get(key)
                     fresh.append(None if before is None else [p for p, _ in now - before])
                     seen[key] = now if before is None else before | now
+                    masked = " ".join(t)
                     ids.append(i)
                     hashes.append(h)
                     lines.append(k)
                     keys.append(key)
-                    found.append(" ".join(t))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(found, pa.string()), pa.array(fresh, pa.list_(pa.int32()))], ["id", "h", "line", "leaf", "masked", "fresh"])
+                    found.append(masked)
+                    digest.append(hashlib.md5(masked.encode()).digest())
+                    many.append(m)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(found, pa.string()), pa.array(digest, pa.binary()), pa.array(many, pa.bool_()), pa.array(fresh, pa.list_(pa.int32()))], ["id", "h", "line", "leaf", "masked", "key", "many", "fresh"])
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,78 +99,100 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text")).where("id is not null")
 
 
-def _variants(found: DataFrame, slots: DataFrame, counted: DataFrame) -> DataFrame:
-    """Lines without a recurring template of their own, with the most similar recurring one of their leaf: at least ``CONSTANT``
-    of its tokens that are not fields are the line's."""
-    constant = F.filter(F.split("template", " "), lambda t: t != FIELD)
-    known = counted.select("leaf", F.struct("template", "first", F.split("template", " ").alias("fields"), F.size(constant).alias("constants")).alias("t"))
-    known = known.groupBy("leaf").agg(F.collect_list("t").alias("known"))
-    own = found.join(known, "leaf").join(slots, "leaf").withColumn("tokens", F.split("masked", " "))
-    own = own.where(~F.exists("known", lambda t: t["template"] == F.array_join(_fields(), " ")))
-
-    def scored(t):
-        same = F.size(F.filter(F.zip_with("tokens", t["fields"], lambda a, b: (b != FIELD) & (a == b)), lambda x: x))
-        return F.struct((-same / t["constants"]).alias("rank"), t["template"].alias("template"), t["first"].alias("first"), (100 * same >= CONSTANT * t["constants"]).alias("fits"))
-
-    best = F.array_min(F.filter(F.transform("known", scored), lambda x: x["fits"]))
-    return own.select("id", "h", "line", best.alias("best")).where("best is not null").select("id", "h", "line", "best.template", "best.first")
-
-
-def _fields():
-    return F.transform(F.split("masked", " "), lambda t, i: F.when(F.array_contains(F.get("slots", i), t), t).otherwise(FIELD))
-
+def _wanted(texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """The lines of leaves that many lines share: ``id``, ``h``, ``line``, ``leaf``, ``masked``, ``key``, whether the id has ``many``
+    texts, and ``fresh``. Rows that repeat an id and a text count once."""
+    # Lines of a leaf are at least as many as its documents; what this lets through is counted again below.
+    often = durable(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf"))
+    wanted = spread(lines.select("id", "h", "line", "leaf"), often, ["leaf"], "id", "line").groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    wanted = wanted.withColumn("many", F.count("*").over(Window.partitionBy("id")) > 1)
+    found = texts.join(wanted, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "h", "text", "lines", "many")
+    return durable(found.mapInArrow(lean(_tokens), "id long, h long, line int, leaf long, masked string, key binary, many boolean, fresh array<int>"))
+
+
+def _templates(found: DataFrame, tokens_: DataFrame) -> DataFrame:
+    """``key``, ``leaf``, ``template`` and its digest ``t`` of the distinct masked lines that are constant enough."""
+    placed = found.select("leaf", "id", "many", "fresh", F.posexplode(F.split("masked", " ")).alias("place", "token")).where(F.col("fresh").isNull() | F.array_contains("fresh", F.col("place")))
+    docs = F.count(F.when(~F.col("many"), 1)) + F.countDistinct(F.when(F.col("many"), F.col("id")))
+    stays = durable(placed.groupBy("leaf", "place", "token").agg(docs.alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf", "place", "token", F.lit(True).alias("stays")))
+    flagged = spread(tokens_, stays, ["leaf", "place", "token"], "key", how="left")
+    fields = F.sort_array(F.collect_list(F.struct("place", F.when(F.col("stays"), F.col("token")).otherwise(FIELD).alias("f"))))
+    made = flagged.groupBy("key", "leaf").agg(fields.alias("fields")).select("key", "leaf", F.col("fields.f").alias("fields"))
+    made = made.where(100 * F.size(F.filter("fields", lambda t: t != FIELD)) >= CONSTANT * F.size("fields"))
+    made = made.select("key", "leaf", F.array_join("fields", " ").alias("template"))
+    return durable(made.withColumn("t", F.unhex(F.md5(F.col("template").cast("binary")))))
 
-def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False) -> DataFrame:
-    """The lines to drop: ``id``, ``h`` (hash of the text they stand in), ``line`` (from 0) and ``template``.
 
-    Documents of a template are counted by id, so repeated rows count once; its lines stay in the document of the smallest id.
-    With ``variants``, lines that differ from a recurring template of their leaf in a few tokens go as well.
+def _variants(tokens_: DataFrame, own: DataFrame, counted: DataFrame) -> DataFrame:
+    """``key``, ``template`` and ``first`` of masked lines without a recurring template of their own, with the most similar recurring
+    one of their leaf: at least ``CONSTANT`` of its tokens that are not fields are the line's, which an inverted join on them counts.
+    """
+    fields = counted.select("t", "leaf", "template", "first", F.filter(F.transform(F.split("template", " "), lambda x, i: F.struct(i.alias("place"), x.alias("token"))), lambda x: x["token"] != FIELD).alias("fields"))
+    # The leading tokens are alike in the whole leaf.
+    known = durable(fields.withColumns({"size": F.size("fields"), "lead": F.size(F.filter("fields", lambda x: x["place"] < DEPTH))}))
+    left = tokens_.join(own.select("key"), "key", "left_anti")
+    left = durable(spread(left, known.select("leaf").distinct(), ["leaf"], "key", "place"))
+    posted = known.select("t", "leaf", F.explode("fields").alias("x")).select("t", "leaf", "x.place", "x.token").where(F.col("place") >= DEPTH)
+    hits = spread(left.where(F.col("place") >= DEPTH), durable(posted), ["leaf", "place", "token"], "key").select("key", "t", F.lit(1).alias("n"))
+    near = known.where(100 * F.col("lead") >= CONSTANT * F.col("size")).select("leaf", "t")
+    all_near = spread(left.where("place = 0"), durable(near), ["leaf"], "key").select("key", "t", F.lit(0).alias("n"))
+    pairs = hits.unionByName(all_near).groupBy("key", "t").agg(F.sum("n").alias("n"))
+    pairs = spread(pairs, known.select("t", "template", "first", "size", "lead"), ["t"], "key").withColumn("same", F.col("n") + F.col("lead"))
+    pairs = pairs.where(100 * F.col("same") >= CONSTANT * F.col("size"))
+    best = pairs.groupBy("key").agg(F.min(F.struct((-F.col("same") / F.col("size")).alias("rank"), "template", "first")).alias("best"))
+    return best.select("key", "best.template", "best.first")
+
+
+def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False, long: bool = False) -> DataFrame:
+    """The lines to drop: ``id``, ``h`` (hash of the text they stand in) and ``line`` (from 0), distinct.
+
+    Documents are counted by id, so repeated rows count once; a template's lines stay in the document of the smallest id.
+    With ``variants``, lines that differ from a recurring template of their leaf in a few tokens go as well; with ``long``, exact
+    repeats of long lines go from two documents on.
     """
     ship(df.sparkSession)
     texts = _keyed(df, id_col, text_col)
-    lines = durable(texts.mapInArrow(lean(_leaves), "id long, h long, line int, leaf long"))
-    # Lines of a leaf are at least as many as its documents; what this lets through is counted again below.
-    often = durable(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf"))
-    wanted = lines.join(often, "leaf").groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
-    found = texts.join(wanted, ["id", "h"]).select("id", "h", "text", "lines")
-    found = durable(found.mapInArrow(lean(_tokens), "id long, h long, line int, leaf long, masked string, fresh array<int>"))
-
-    placed = found.select("leaf", "fresh", F.posexplode(F.split("masked", " ")).alias("place", "token")).where(F.col("fresh").isNull() | F.array_contains("fresh", F.col("place")))
-    stays = placed.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    slots = stays.groupBy("leaf", "place").agg(F.collect_list("token").alias("tokens")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "tokens"))).alias("at"), F.max("place").alias("last"))
-    slots = durable(slots.select("leaf", F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at("at", i)).alias("slots")))
-    made = found.join(slots, "leaf").select("id", "h", "line", "leaf", _fields().alias("fields"))
-    made = made.where(100 * F.size(F.filter("fields", lambda t: t != FIELD)) >= CONSTANT * F.size("fields"))
-    made = durable(made.select("id", "h", "line", "leaf", F.array_join("fields", " ").alias("template")))
+    lines = durable(texts.mapInArrow(lean(_leaves), _LINES))
+    found = _wanted(texts, lines)
+    distinct = found.select("key", "leaf", "masked").distinct()
+    tokens_ = durable(distinct.select("key", "leaf", F.posexplode(F.split("masked", " ")).alias("place", "token")))
+    made = _templates(found, tokens_)
     # A template has one leaf: the leading tokens of a leaf stay in its templates.
-    counted = made.select("template", "id", "leaf").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("id").alias("first"), F.min("leaf").alias("leaf")).where(F.col("docs") >= MIN_DOCS)
+    docs = spread(found.select("id", "line", "key"), made.select("key", "t"), ["key"], "id").select("t", "id").distinct()
+    counted = durable(docs.groupBy("t").agg(F.count("*").alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= MIN_DOCS))
+    own = durable(made.join(counted, "t").select("key", "leaf", "t", "template", "first"))
+    gone = own.select("key", "first")
     if variants:
-        counted = durable(counted)
-    gone = made.join(counted.drop("leaf"), "template").select("id", "h", "line", "template", "first")
-    if variants:
-        gone = gone.unionByName(_variants(found, slots, counted))
-    return gone.where("id <> first").select("id", "h", "line", "template")
+        known = own.groupBy("t", "leaf", "template", "first").agg(F.count("*").alias("lines"))
+        gone = gone.unionByName(_variants(tokens_, own, known).select("key", "first"))
+    out = spread(found.select("id", "h", "line", "key"), durable(gone), ["key"], "id", "line").where("id <> first").select("id", "h", "line")
+    if long:
+        out = out.unionByName(_repeats(lines)).distinct()
+    return out
+
+
+def _repeats(lines: DataFrame) -> DataFrame:
+    keyed = lines.where("exact is not null")
+    twice = durable(keyed.groupBy("exact").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").drop("last"))
+    return spread(keyed, twice, ["exact"], "id", "line").where("id <> first").select("id", "h", "line").distinct()
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Exact repeats of lines of more than ``LONG`` tokens in two or more documents: ``id``, ``h`` and ``line``, but for the
     document of the smallest id."""
-    split = _keyed(df, id_col, text_col).select("id", "h", F.posexplode(F.split("text", "\n")).alias("line", "l"))
-    long = split.where(F.regexp_count("l", F.lit(r"[^ \t\r\f\x0B]+")) > LONG)
-    keyed = durable(long.select("id", "h", "line", F.unhex(F.md5(F.col("l").cast("binary"))).alias("key")))
-    twice = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").drop("last")
-    return keyed.join(twice, "key").where("id <> first").select("id", "h", "line")
+    ship(df.sparkSession)
+    return _repeats(durable(_keyed(df, id_col, text_col).mapInArrow(lean(_leaves), _LINES).where("exact is not null")))
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False) -> DataFrame:
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False, long: bool = False) -> DataFrame:
     """The input's rows and columns, with recurring lines cut from the text, and ``lines_dropped``, which replaces a column of
     that name.
 
-    A null text stays null; rows without an id, and lines of fewer than ``MIN_TOKENS`` tokens, stay as they are; repeated rows are
-    treated alike; an empty table gives an empty one. A text whose lines all recur becomes empty.
-    With ``variants``, edited variants of recurring lines go too.
+    A null text stays null; rows without an id, and lines of fewer than ``MIN_CHARS`` characters, stay as they are; repeated rows
+    are treated alike and change nothing in the others; an empty table gives an empty one. A text whose lines all recur becomes
+    empty. With ``variants``, edited variants of recurring lines go too; with ``long``, long lines from two documents on.
     """
-    return _cut(df, recurring(df, id_col, text_col, variants), id_col, text_col)
+    return _cut(df, recurring(df, id_col, text_col, variants, long), id_col, text_col)
 
 
 def dedup_long(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,7 +202,9 @@ def dedup_long(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _cut(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    gone = gone.groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    gone = durable(gone.groupBy("id", "h").agg(F.collect_set("line").alias("lines")))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     columns = [c for c in df.columns if c != "lines_dropped"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))

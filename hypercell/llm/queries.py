@@ -68,22 +68,28 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(_table(spark, sf_dir, "documents"))
-    text = F.coalesce("text", F.lit(""))
-    return out.select("doc_id", (F.size(F.split(text, "\n")) + F.col("lines_dropped")).cast("long").alias("lines"), "lines_dropped", F.sha2(text, 256).alias("text_sha256"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("lines"))
+    out = linededup.dedup(docs, variants=True, long=True)
+    return out.select("doc_id", "lines", "lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-_FIELDS = f"list_transform(regexp_extract_all(l, '[^ \\t\\r\\f\\v]+'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{linededup.FIELD}' ELSE t END)"
+_RAW = "regexp_extract_all(l, '[^ \\t\\r\\f\\v]+')"
+_CONSTANTS = f"list_filter(t.f, lambda x: x <> '{linededup.FIELD}')"
 OP3_SQL = f"""
 WITH raw AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-parsed AS (SELECT doc_id, i, {_FIELDS} AS t FROM raw),
-leaves AS (SELECT doc_id, i, t, len(t) || ' ' || array_to_string(t[1:{linededup.DEPTH}], ' ') AS leaf FROM parsed WHERE len(t) >= {linededup.MIN_TOKENS}),
+parsed AS (SELECT doc_id, i, l, list_transform({_RAW}, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{linededup.FIELD}' ELSE t END) AS t FROM raw WHERE length(array_to_string({_RAW}, '')) >= {linededup.MIN_CHARS}),
+leaves AS (SELECT doc_id, i, t, len(t) || ' ' || array_to_string(t[1:{linededup.DEPTH}], ' ') AS leaf FROM parsed),
 placed AS (SELECT doc_id, i, leaf, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM leaves),
 stays AS (SELECT leaf, place, token FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
-fields AS (SELECT doc_id, i, p.place, CASE WHEN s.token IS NULL THEN '{linededup.FIELD}' ELSE p.token END AS f FROM placed p LEFT JOIN stays s ON p.leaf = s.leaf AND p.place = s.place AND p.token = s.token),
-made AS (SELECT doc_id, i, string_agg(f, ' ' ORDER BY place) AS template FROM fields GROUP BY doc_id, i HAVING 100 * count(*) FILTER (f <> '{linededup.FIELD}') >= {linededup.CONSTANT} * count(*)),
-counted AS (SELECT template, min(doc_id) AS first FROM made GROUP BY template HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
-gone AS (SELECT doc_id, i FROM made JOIN counted USING (template) WHERE doc_id <> first)
+fields AS (SELECT doc_id, i, p.leaf, p.place, CASE WHEN s.token IS NULL THEN '{linededup.FIELD}' ELSE p.token END AS f FROM placed p LEFT JOIN stays s ON p.leaf = s.leaf AND p.place = s.place AND p.token = s.token),
+made AS (SELECT doc_id, i, min(leaf) AS leaf, string_agg(f, ' ' ORDER BY place) AS template FROM fields GROUP BY doc_id, i HAVING 100 * count(*) FILTER (f <> '{linededup.FIELD}') >= {linededup.CONSTANT} * count(*)),
+counted AS (SELECT template, min(leaf) AS leaf, min(doc_id) AS first, string_split(template, ' ') AS f FROM made GROUP BY template HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
+own AS (SELECT doc_id, i, first FROM made JOIN counted USING (template)),
+near AS (SELECT l.doc_id, l.i, t.template, t.first, len(list_filter(range(1, len(t.f) + 1), lambda k: t.f[k] <> '{linededup.FIELD}' AND t.f[k] = l.t[k])) AS same, len({_CONSTANTS}) AS size
+  FROM leaves l JOIN counted t ON l.leaf = t.leaf ANTI JOIN own o ON l.doc_id = o.doc_id AND l.i = o.i),
+variant AS (SELECT doc_id, i, first FROM near WHERE 100 * same >= {linededup.CONSTANT} * size QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY -same / size, template) = 1),
+long AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY l) AS first FROM parsed WHERE len(t) > {linededup.LONG}),
+gone AS (SELECT DISTINCT doc_id, i FROM (SELECT * FROM own UNION ALL SELECT * FROM variant UNION ALL SELECT * FROM long) WHERE doc_id <> first)
 SELECT raw.doc_id, count(*) AS lines, count(gone.i) AS lines_dropped, sha256(coalesce(string_agg(l, chr(10) ORDER BY raw.i) FILTER (gone.i IS NULL), '')) AS text_sha256
 FROM raw LEFT JOIN gone ON raw.doc_id = gone.doc_id AND raw.i = gone.i GROUP BY raw.doc_id"""
 
