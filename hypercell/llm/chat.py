@@ -111,8 +111,8 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     ``expanded_tokens`` (tokens that the turn's placeholders expand to).
 
     ``parts_col`` holds typed parts (``PARTS``); else the text is one text part. A null text or part list is empty, a null role
-    is the empty role, rows without a conversation id form one conversation; rows with equal turns are ordered by role and
-    text; repeated rows are repeated turns; other columns are left out. All turns of a conversation pass through one task as a
+    is the empty role, rows without a conversation id form one conversation; rows with equal turns are ordered by role, text and
+    other parts; repeated rows are repeated turns; other columns are left out. All turns of a conversation pass through one task as a
     stream, so the longest conversation bounds time, not memory.
     """
     ship(df.sparkSession)
@@ -135,7 +135,8 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
 
     refs = pa.list_(pa.struct([("place", pa.int32()), ("kind", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())]))
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("formatted", pa.string()), ("start", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("attachments", refs), ("expanded_tokens", pa.int64())])
-    return src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.to_json(F.struct("parts"))).mapInArrow(lean(run), _FORMATTED)
+    texts = F.array_join(F.transform("parts", lambda p: p["text"]), "")
+    return src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", texts, F.to_json(F.struct("parts"))).mapInArrow(lean(run), _FORMATTED)
 
 
 def digests(formatted: DataFrame) -> DataFrame:

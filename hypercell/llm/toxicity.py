@@ -17,13 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import chunks, id_text, lean, ship
+from hypercell.llm.common import chunks, durable, id_text, lean, ship
 from hypercell.llm.labelled import MAX_TRAINING_ROWS, sample, with_labels
 
-#: Most candidate terms, and most terms of the lexicon.
-MAX_CANDIDATES, MAX_TERMS = 20_000, 400
 #: A term stands in at least so many toxic training documents, and its odds there are so many times those elsewhere.
-MIN_DOCS, MIN_ODDS = 5, 8.0
+MIN_DOCS, MIN_ODDS = 3, 8.0
 #: Least lower confidence bound of the share of toxic documents among those that hold a term, and the bound's normal quantile.
 LEAST_PRECISION, QUANTILE = 0.5, 1.96
 #: Lengths of the word beginnings that are terms beside whole words.
@@ -105,24 +103,26 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit_label_model(v: np.ndarray, side: np.ndarray, rounds: int = 30) -> LabelModel:
+def fit_label_model(v: np.ndarray, side: np.ndarray, times: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
     """Expectation maximisation, started from the majority of votes. Between rounds the voters' correlations within the classes
-    are estimated; a voter that others repeat shares its evidence with them."""
-    n, d = v.shape
+    are estimated; a voter that others repeat shares its evidence with them. ``times``: how often each row occurs."""
+    d = v.shape[1]
+    times = np.ones(len(v)) if times is None else times
+    n = times.sum()
     p = np.clip(0.5 + 0.4 * np.sign(v @ np.where(side == 1, 1.0, -1.0) - 1e-3), 0.1, 0.9)
     own = np.ones(d)
     model = LabelModel(np.full((2, d), 0.5), own, 0.5)
     for k in range(rounds):
-        w = np.stack([1 - p, p])
+        w = np.stack([1 - p, p]) * times
         rate = np.clip((w @ v + 0.1) / (w.sum(axis=1, keepdims=True) + 1.0), 1e-4, 1 - 1e-4)
         if k % 5 == 0:
-            rest = v - (w.T @ rate)
-            cov = rest.T @ rest / max(1, n)
+            rest = v - (np.stack([1 - p, p], axis=1) @ rate)
+            cov = (rest * times[:, None]).T @ rest / max(1, n)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             corr = cov / np.outer(sd, sd)
             np.fill_diagonal(corr, 0)
             own = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(axis=1))
-        model = LabelModel(rate, own, float(np.clip(p.mean(), 1e-3, 1 - 1e-3)))
+        model = LabelModel(rate, own, float(np.clip((p * times).sum() / max(1, n), 1e-3, 1 - 1e-3)))
         new = model.posterior(v)
         if np.abs(new - p).max() < 1e-6 and k > 5:
             break
@@ -148,37 +148,47 @@ def _design(found: list[tuple[list[int], int, int]], n_terms: int) -> np.ndarray
     return x
 
 
-def fit_linear(x: np.ndarray, p: np.ndarray, ridge: float = 1e-3, rounds: int = 25) -> np.ndarray:
-    """Logistic regression on soft labels, by Newton steps."""
-    n, d = x.shape
+def fit_linear(x: np.ndarray, p: np.ndarray, times: np.ndarray | None = None, ridge: float = 1e-3, rounds: int = 25) -> np.ndarray:
+    """Logistic regression on soft labels, by Newton steps. ``times``: how often each row occurs."""
+    d = x.shape[1]
+    times = np.ones(len(x)) if times is None else times
+    n = times.sum()
     w = np.zeros(d)
     for _ in range(rounds):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x / n + ridge * np.eye(d), x.T @ (p - q) / n - ridge * w)
+        step = np.linalg.solve((x * (times * q * (1 - q))[:, None]).T @ x / n + ridge * np.eye(d), x.T @ (times * (p - q)) / n - ridge * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def _counted(src: DataFrame, only: dict[str, int] | None) -> DataFrame:
-    """Documents that hold each term: ``term`` and ``docs``."""
-    spark = src.sparkSession
-    shared = None if only is None else spark.sparkContext.broadcast(only)
+def _counted(src: DataFrame) -> DataFrame:
+    """Toxic and clean documents that hold each term: ``term``, ``a`` and ``b``; those terms that may be in a lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            keys = list(seen)
+            out = pa.RecordBatch.from_arrays([pa.array([t for t, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "y", "docs"])
+            seen.clear()
+            return out
+
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                t = terms(text)
-                seen.update(t if shared is None else t & shared.value.keys())
-            if len(seen) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "docs"])
-                seen.clear()
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen.update((t, y) for t in terms(text))
+                if len(seen) > 200_000:
+                    yield flush()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "docs"])
+            yield flush()
 
-    return src.select("text").mapInArrow(lean(run), "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
+    counts = src.select("text", "y").mapInArrow(lean(run), "term string, y int, docs long").groupBy("term")
+    counts = counts.agg(F.sum(F.when(F.col("y") == 1, F.col("docs")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("docs")).otherwise(0)).alias("b"))
+    # The same bound as lower_bound has, with some room for rounding.
+    a, n, z = F.col("a"), F.col("a") + F.col("b"), QUANTILE * QUANTILE
+    bound = (a + z / 2 - QUANTILE * F.sqrt(a * (n - a) / n + z / 4)) / (n + z)
+    return counts.where((a >= MIN_DOCS) & (bound >= LEAST_PRECISION - 1e-9))
 
 
 def lower_bound(a: int, n: int) -> float:
@@ -196,21 +206,21 @@ def induce(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
         odds = ((a + 0.5) / (n_toxic - a + 0.5)) / ((b + 0.5) / (n_clean - b + 0.5))
         if a >= MIN_DOCS and odds >= MIN_ODDS and lower_bound(a, a + b) >= LEAST_PRECISION:
             ranked.append((-a * np.log(odds), t))
-    return [t for _, t in sorted(ranked)[:MAX_TERMS]]
+    return [t for _, t in sorted(ranked)]
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 1, held_out: int | None = None, limit: int = MAX_TRAINING_ROWS) -> Model:
-    """A model from at most ``limit`` labelled documents outside the held-out fold. Labels only choose the lexicon; without
-    toxic rows or terms every document gets a score below one half."""
+    """A model from at most ``limit`` labelled documents outside the held-out fold; that bounds the lexicon too. Labels only choose
+    the lexicon; without toxic rows or terms every document gets a score below one half."""
     spark = docs.sparkSession
     ship(spark)
     rows = sample(labels, label_col, id_col, folds, held_out, limit)
-    src = with_labels(id_text(docs, id_col, text_col), rows)
     n_toxic = sum(y for _, y in rows)
-    first = _counted(src.where("y = 1"), None).where(F.col("docs") >= MIN_DOCS).orderBy(F.desc("docs"), "term").limit(MAX_CANDIDATES).collect() if n_toxic else []
-    toxic = {r["term"]: r["docs"] for r in first}
-    clean = {r["term"]: r["docs"] for r in _counted(src.where("y = 0"), {t: 1 for t in toxic}).collect()} if toxic else {}
-    lexicon = Lexicon(induce(toxic, clean, n_toxic, len(rows) - n_toxic))
+    lexicon = Lexicon([])
+    if n_toxic:
+        src = durable(with_labels(id_text(docs, id_col, text_col), rows))  # as many rows as the sample
+        counts = _counted(src).collect()
+        lexicon = Lexicon(induce({r["term"]: r["a"] for r in counts}, {r["term"]: r["b"] for r in counts}, n_toxic, len(rows) - n_toxic))
     k = len(lexicon.terms)
     if not k:
         w = np.zeros(4)
@@ -220,14 +230,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shared.value.hits(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64())], ["id", "t", "h", "n"])
+            got = [shared.value.hits(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] if g[1] else min(g[2], 1) for g in got], pa.int64())], ["t", "h", "n"])
 
-    got = sorted((r["id"], list(r["t"]), r["h"], r["n"]) for r in src.select("id", "text").mapInArrow(lean(run), "id long, t array<int>, h long, n long").toLocalIterator())
-    found = [(t, h, n) for _, t, h, n in got]
+    # Without a term only whether there are words matters, so most documents are alike.
+    alike = src.select("text").mapInArrow(lean(run), "t array<int>, h long, n long").groupBy("t", "h", "n").agg(F.count("*").alias("times"))
+    got = sorted((list(r["t"]), r["h"], r["n"], r["times"]) for r in alike.collect())
+    found, times = [(t, h, n) for t, h, n, _ in got], np.array([r[3] for r in got], float)
     v, side = votes(found, k)
-    posterior = fit_label_model(v, side).posterior(v)
-    return Model(lexicon, fit_linear(_design(found, k), posterior))
+    posterior = fit_label_model(v, side, times).posterior(v)
+    return Model(lexicon, fit_linear(_design(found, k), posterior, times))
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,7 +47,7 @@ def expected(rows):
 
 
 def test_conversations(spark):
-    rows = [(1, 1, "assistant", "hi 🙂 </s>"), (1, 0, "user", "hello\n\\n"), (2, 0, None, None), (2, 1, "assistant", None), (None, 0, "user", "x"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same"), (4, 0, "b", "1"), (4, 0, "a", "2"), (5, 0, "user", "long " * 20000)]
+    rows = [(1, 1, "assistant", "hi 🙂 </s>"), (1, 0, "user", "hello\n\\n"), (2, 0, None, None), (2, 1, "assistant", None), (None, 0, "user", "x"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same"), (4, 0, "b", "1"), (4, 0, "a", "2"), (6, 0, "user", "Z"), (6, 0, "user", "\"q"), (5, 0, "user", "long " * 20000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' AS parts", "1 AS formatted")
     formatted = chat.format_turns(df)
     got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.digests(formatted).collect()}

@@ -22,6 +22,34 @@ def test_held_out_accuracy(spark, name, label, folds, out, cut, least):
     assert len(held) > 30 and sum(r["predicted"] == r[label] for r in held) >= least * len(held)
 
 
+def test_toxicity_recall_and_precision(spark):
+    """On the larger table, whose held-out fold has about a hundred toxic documents."""
+    big = "/root/testdata/sf0.1"
+    rows = queries.op8_toxicity(spark, big).where("held_out").join(spark.read.parquet(f"{big}/labels.parquet").where("toxic in (0, 1)"), "doc_id").collect()
+    both = sum(r["predicted"] * r["toxic"] for r in rows)
+    assert both >= 0.9 * sum(r["toxic"] for r in rows) and both >= 0.95 * sum(r["predicted"] for r in rows)
+
+
+def test_scores_as_the_model(spark):
+    """The query's scores against the model's, text by text."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    t = toxicity.train(docs, labels, folds=5, held_out=0)
+    q = quality.train(docs, labels, folds=4, held_out=2)
+    for name, plain in (("op8_toxicity", lambda x: t.score([x])[0]), ("op4_quality", lambda x: q.score(np.array([quality.features(x)]))[0])):
+        got = {r["doc_id"]: r["score"] for r in queries.queries()[name](spark, SF).collect()}
+        assert got.keys() == texts.keys() and all(abs(got[i] - plain(texts[i])) < 1e-9 for i in texts)
+
+
+def test_rows_that_occur_often_count_often():
+    rng = np.random.default_rng(2)
+    v = (rng.random((60, 4)) < [0.1, 0.5, 0.3, 0.2]).astype(np.float32)
+    times = rng.integers(1, 5, 60)
+    a = toxicity.fit_label_model(np.repeat(v, times, axis=0), np.array([1, 1, 0, 1]))
+    b = toxicity.fit_label_model(v, np.array([1, 1, 0, 1]), times.astype(float))
+    assert np.allclose(a.rate, b.rate, atol=1e-5) and np.allclose(a.own, b.own, atol=1e-5) and abs(a.prior - b.prior) < 1e-5
+
+
 def test_held_out_labels_do_not_matter(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").where(fold("doc_id", 4) == 2)
     assert sample(labels, "quality", folds=4, held_out=2) == []
