@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hypercell.llm import bpe, decontaminate, linededup, neardup, quality
-from hypercell.llm.common import durable, scratch
+from hypercell.llm.common import discard, durable, scratch
 from hypercell.llm.queries import QUALITY_FOLDS, QUALITY_HELD_OUT, vocabulary
 
 
@@ -28,11 +28,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _left(docs, linededup.dedup(docs, variants=True))
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """One of the rows that have an id and a text in common."""
+    again = durable(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if again.isEmpty():
+        return docs
+    one = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    return docs.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, without long lines that another group's document holds too."""
+    """One document of each group of near copies, repeated rows among them, without long lines that another group's document holds too."""
     gone = durable(neardup.link(docs).where(~F.col("kept")).select("doc_id").distinct())
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return _left(docs, linededup.dedup_long(kept))
+    return _left(docs, linededup.dedup_long(_once(kept)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,12 +68,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet in a shared folder and read again."""
+    """All stages over ``documents``, each written as Parquet in a shared folder and read again; what nothing reads any more goes."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            path = scratch(spark, name.replace(" ", "-"))
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    before = None
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
