@@ -14,13 +14,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of an Arrow batch between Spark and Python, so that long texts do not pile up; one longer text stands alone. A smaller
 #: setting of the session stays.
 BATCH_BYTES = 4 << 20
 
-#: Rows that are broadcast after counting them, and in how many parts a possibly hot key is dealt beyond.
-BROADCAST_ROWS, SALTS = 200_000, 16
+#: Bytes of a table that is broadcast after adding them up, and in how many parts a possibly hot key is dealt beyond.
+BROADCAST_BYTES, SALTS = 16 << 20, 16
 
 _SHIPPED: set[str] = set()
 
@@ -99,11 +100,24 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def small(df: DataFrame) -> bool:
+    """Whether a table, which a checkpoint is behind, has at most ``BROADCAST_BYTES``."""
+    size = F.lit(32)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            size += F.octet_length(F.to_json(F.struct(f.name)))
+        else:
+            size += 8
+    return (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def spread(left: DataFrame, right: DataFrame, on: list[str], *by: str, how: str = "inner") -> DataFrame:
     """A join whose left side may hold a key in a great share of its rows. ``right`` has each key once or a few times, and a checkpoint
-    behind it: counted, it is broadcast if it is small; else its rows are repeated, and the left's rows of a key, dealt by the columns
+    behind it: if it is small, it is broadcast; else its rows are repeated, and the left's rows of a key, dealt by the columns
     ``by``, meet one of them each."""
-    if right.count() <= BROADCAST_ROWS:
+    if small(right):
         return left.join(F.broadcast(right), on, how)
     left = left.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

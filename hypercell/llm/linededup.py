@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hypercell.llm.common import BROADCAST_ROWS, chunks, durable, lean, ship, spread
+from hypercell.llm.common import chunks, durable, lean, ship, small, spread
 
 #: Leading tokens that lead to a leaf.
 DEPTH = 3
@@ -30,6 +30,8 @@ CONSTANT = 70
 #: A line of more tokens is too long to recur by chance: its exact repeats count from two documents on.
 LONG = 50
 FIELD = "<*>"
+#: Templates of a leaf that a line meets at once.
+BLOCK = 256
 
 _TOKEN = re.compile(r"[^ \t\r\f\v]+")
 _DIGIT = re.compile(r"[0-9]")
@@ -110,12 +112,13 @@ def _wanted(texts: DataFrame, lines: DataFrame) -> DataFrame:
     return durable(found.mapInArrow(lean(_tokens), "id long, h long, line int, leaf long, masked string, key binary, many boolean, fresh array<int>"))
 
 
-def _templates(found: DataFrame, tokens_: DataFrame) -> DataFrame:
+def _templates(found: DataFrame, distinct: DataFrame) -> DataFrame:
     """``key``, ``leaf``, ``template`` and its digest ``t`` of the distinct masked lines that are constant enough."""
     placed = found.select("leaf", "id", "many", "fresh", F.posexplode(F.split("masked", " ")).alias("place", "token")).where(F.col("fresh").isNull() | F.array_contains("fresh", F.col("place")))
     docs = F.count(F.when(~F.col("many"), 1)) + F.countDistinct(F.when(F.col("many"), F.col("id")))
     stays = durable(placed.groupBy("leaf", "place", "token").agg(docs.alias("n")).where(F.col("n") >= MIN_DOCS).select("leaf", "place", "token", F.lit(True).alias("stays")))
-    flagged = spread(tokens_, stays, ["leaf", "place", "token"], "key", how="left")
+    exploded = distinct.select("key", "leaf", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    flagged = spread(exploded, stays, ["leaf", "place", "token"], "key", how="left")
     fields = F.sort_array(F.collect_list(F.struct("place", F.when(F.col("stays"), F.col("token")).otherwise(FIELD).alias("f"))))
     made = flagged.groupBy("key", "leaf").agg(fields.alias("fields")).select("key", "leaf", F.col("fields.f").alias("fields"))
     made = made.where(100 * F.size(F.filter("fields", lambda t: t != FIELD)) >= CONSTANT * F.size("fields"))
@@ -123,24 +126,24 @@ def _templates(found: DataFrame, tokens_: DataFrame) -> DataFrame:
     return durable(made.withColumn("t", F.unhex(F.md5(F.col("template").cast("binary")))))
 
 
-def _variants(tokens_: DataFrame, own: DataFrame, counted: DataFrame) -> DataFrame:
+def _variants(distinct: DataFrame, own: DataFrame) -> DataFrame:
     """``key``, ``template`` and ``first`` of masked lines without a recurring template of their own, with the most similar recurring
-    one of their leaf: at least ``CONSTANT`` of its tokens that are not fields are the line's, which an inverted join on them counts.
-    """
-    fields = counted.select("t", "leaf", "template", "first", F.filter(F.transform(F.split("template", " "), lambda x, i: F.struct(i.alias("place"), x.alias("token"))), lambda x: x["token"] != FIELD).alias("fields"))
-    # The leading tokens are alike in the whole leaf.
-    known = durable(fields.withColumns({"size": F.size("fields"), "lead": F.size(F.filter("fields", lambda x: x["place"] < DEPTH))}))
-    left = tokens_.join(own.select("key"), "key", "left_anti")
-    left = durable(spread(left, known.select("leaf").distinct(), ["leaf"], "key", "place"))
-    posted = known.select("t", "leaf", F.explode("fields").alias("x")).select("t", "leaf", "x.place", "x.token").where(F.col("place") >= DEPTH)
-    hits = spread(left.where(F.col("place") >= DEPTH), durable(posted), ["leaf", "place", "token"], "key").select("key", "t", F.lit(1).alias("n"))
-    near = known.where(100 * F.col("lead") >= CONSTANT * F.col("size")).select("leaf", "t")
-    all_near = spread(left.where("place = 0"), durable(near), ["leaf"], "key").select("key", "t", F.lit(0).alias("n"))
-    pairs = hits.unionByName(all_near).groupBy("key", "t").agg(F.sum("n").alias("n"))
-    pairs = spread(pairs, known.select("t", "template", "first", "size", "lead"), ["t"], "key").withColumn("same", F.col("n") + F.col("lead"))
-    pairs = pairs.where(100 * F.col("same") >= CONSTANT * F.col("size"))
-    best = pairs.groupBy("key").agg(F.min(F.struct((-F.col("same") / F.col("size")).alias("rank"), "template", "first")).alias("best"))
-    return best.select("key", "best.template", "best.first")
+    one of their leaf: at least ``CONSTANT`` of its tokens that are not fields are the line's. A line meets the templates of its
+    leaf in blocks, one row each."""
+    known = own.groupBy("t", "leaf", "template", "first").agg(F.count("*").alias("lines"))
+    known = known.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("leaf").orderBy("t")) - 1) / BLOCK))
+    fields = F.split("template", " ")
+    entry = F.struct("template", "first", fields.alias("fields"), F.size(F.filter(fields, lambda x: x != FIELD)).alias("size"))
+    blocks = durable(known.groupBy("leaf", "block").agg(F.collect_list(entry).alias("known")))
+    left = distinct.join(own.select("key"), "key", "left_anti")
+    met = spread(left, blocks, ["leaf"], "key").withColumn("tokens", F.split("masked", " "))
+
+    def scored(t):
+        same = F.size(F.filter(F.zip_with("tokens", t["fields"], lambda a, b: (b != FIELD) & (a == b)), lambda x: x))
+        return F.struct((-same / t["size"]).alias("rank"), t["template"].alias("template"), t["first"].alias("first"), (100 * same >= CONSTANT * t["size"]).alias("fits"))
+
+    best = met.select("key", F.array_min(F.filter(F.transform("known", scored), lambda x: x["fits"])).alias("best")).where("best is not null")
+    return best.groupBy("key").agg(F.min("best").alias("best")).select("key", "best.template", "best.first")
 
 
 def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: bool = False, long: bool = False) -> DataFrame:
@@ -154,17 +157,15 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", var
     texts = _keyed(df, id_col, text_col)
     lines = durable(texts.mapInArrow(lean(_leaves), _LINES))
     found = _wanted(texts, lines)
-    distinct = found.select("key", "leaf", "masked").distinct()
-    tokens_ = durable(distinct.select("key", "leaf", F.posexplode(F.split("masked", " ")).alias("place", "token")))
-    made = _templates(found, tokens_)
+    distinct = durable(found.select("key", "leaf", "masked").distinct())
+    made = _templates(found, distinct)
     # A template has one leaf: the leading tokens of a leaf stay in its templates.
     docs = spread(found.select("id", "line", "key"), made.select("key", "t"), ["key"], "id").select("t", "id").distinct()
     counted = durable(docs.groupBy("t").agg(F.count("*").alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= MIN_DOCS))
     own = durable(made.join(counted, "t").select("key", "leaf", "t", "template", "first"))
     gone = own.select("key", "first")
     if variants:
-        known = own.groupBy("t", "leaf", "template", "first").agg(F.count("*").alias("lines"))
-        gone = gone.unionByName(_variants(tokens_, own, known).select("key", "first"))
+        gone = gone.unionByName(_variants(distinct, own).select("key", "first"))
     out = spread(found.select("id", "h", "line", "key"), durable(gone), ["key"], "id", "line").where("id <> first").select("id", "h", "line")
     if long:
         out = out.unionByName(_repeats(lines)).distinct()
@@ -203,7 +204,7 @@ def dedup_long(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _cut(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
     gone = durable(gone.groupBy("id", "h").agg(F.collect_set("line").alias("lines")))
-    if gone.count() <= BROADCAST_ROWS:
+    if small(gone):
         gone = F.broadcast(gone)
     columns = [c for c in df.columns if c != "lines_dropped"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -58,8 +58,7 @@ def test_edited_variants_of_a_recurring_line_go(spark):
 def test_joins_beyond_the_broadcast(spark, monkeypatch):
     from hypercell.llm import common, queries
 
-    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(L, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     oracle.same(queries.op3_line_dedup(spark, "/root/testdata/sf0.001"), queries.OP3_SQL, "/root/testdata/sf0.001")
 
 
