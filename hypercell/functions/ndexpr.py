@@ -6,7 +6,7 @@ index list. In array dimensions index 0 is the outermost (C order).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -147,6 +147,11 @@ def _cut(flat_: Column, parts: int, n: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.slice(flat_, i * n + 1, n))
 
 
+def each(cell: Column, depth: int, change: Callable[[Column], Column]) -> Column:
+    """Every element below ``depth`` levels changed."""
+    return F.transform(cell, lambda x: each(x, depth - 1, change)) if depth else change(cell)
+
+
 def has_null(cell: Column, depth: int) -> Column:
     """Whether an element at any level below the cell is null."""
     if not depth:
@@ -171,6 +176,9 @@ def complex_product(a: Column, b: Column) -> Column:
     return F.array(real(a) * real(b) - imag(a) * imag(b), real(a) * imag(b) + imag(a) * real(b))
 
 
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
 def checked_cast(value: Column, source: T.DataType, name: str) -> Column:
     """A scalar cast that loses nothing, or raises an error: fractions, values out of range, and whole numbers that a floating
     type cannot hold. Strings are never cast. Nulls stay."""
@@ -180,8 +188,10 @@ def checked_cast(value: Column, source: T.DataType, name: str) -> Column:
     floats = (T.FloatType, T.DoubleType)
     if isinstance(source, T.StringType) != (target.name == "string"):
         return F.when(value.isNotNull(), F.raise_error(F.lit(f"strings are not cast to or from {name}")).cast(target.spark))
-    if target.name == "string":
-        return value
+    if isinstance(source, _TIMES) != (target.name == "timestamp"):
+        return F.when(value.isNotNull(), F.raise_error(F.lit(f"times are not cast to or from {name}")).cast(target.spark))
+    if target.name in ("string", "timestamp"):
+        return value.cast(target.spark)
     number = value.cast("int") if isinstance(source, T.BooleanType) else value
     if isinstance(target.spark, floats):
         if isinstance(source, (T.LongType, T.IntegerType)):

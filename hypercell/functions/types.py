@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ class CellType:
     def default(self):
         if self.name == "string":
             return ""
+        if self.name == "timestamp":
+            return datetime(1970, 1, 1)
         return False if self.name == "boolean" else self.spark_zero
 
     @property
@@ -54,6 +57,8 @@ TYPES: dict[str, CellType] = {
         CellType("complex", T.FloatType(), pa.float32(), np.complex64, is_complex=True),
         CellType("dcomplex", T.DoubleType(), pa.float64(), np.complex128, is_complex=True),
         CellType("string", T.StringType(), pa.string(), np.object_),
+        # Not a type of measurement tables, whose times are numbers: for DataFrames that have it.
+        CellType("timestamp", T.TimestampNTZType(), pa.timestamp("us"), np.datetime64),
     )
 }
 
@@ -70,6 +75,8 @@ def of_numpy(dtype: np.dtype) -> CellType:
     for t in TYPES.values():
         if t.name != "string" and np.dtype(t.numpy) == dtype:
             return t
+    if dtype.kind == "M":
+        return TYPES["timestamp"]
     if dtype.kind in "OUS":
         return TYPES["string"]
     raise InvalidTable(f"numpy type {dtype} is not supported")
@@ -77,7 +84,7 @@ def of_numpy(dtype: np.dtype) -> CellType:
 
 def of_spark(kind: T.DataType) -> CellType:
     """The plain value type of a Spark scalar type."""
-    found = {T.BooleanType: "boolean", T.ByteType: "char", T.ShortType: "short", T.IntegerType: "int", T.LongType: "int64", T.FloatType: "float", T.DoubleType: "double", T.StringType: "string"}
+    found = {T.BooleanType: "boolean", T.ByteType: "char", T.ShortType: "short", T.IntegerType: "int", T.LongType: "int64", T.FloatType: "float", T.DoubleType: "double", T.StringType: "string", T.TimestampNTZType: "timestamp", T.TimestampType: "timestamp"}
     for spark, name in found.items():
         if isinstance(kind, spark):
             return TYPES[name]

@@ -15,7 +15,7 @@ from hypercell.sources.storage import Store
 PARTITIONS, NROW = ("FIELD_ID", "PROCESSOR_ID", "DATA_DESC_ID"), 1000
 
 
-def write_dataset(df: DataFrame, path: str, partition: Sequence[str] = (), nrow: int = NROW, order: Sequence[str] = (), fmt: str = "parquet") -> None:
+def write_dataset(df: DataFrame, path: str, partition: Sequence[str] = (), nrow: int = NROW, order: Sequence[str] = ()) -> None:
     """``path/A=a/B=b/part-*.parquet`` with at most ``nrow`` rows a file; what is there is replaced.
 
     Rows are dealt by the partition columns and ranges of the order, so a large partition is written by many tasks, and a small
@@ -24,7 +24,7 @@ def write_dataset(df: DataFrame, path: str, partition: Sequence[str] = (), nrow:
     cols = [F.col(c) for c in partition]
     if cols or order:
         df = df.repartitionByRange(*cols, *[F.col(c) for c in order]).sortWithinPartitions(*cols, *[F.col(c) for c in order])
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", nrow).format("arrow" if fmt == "arrow" else fmt)
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", nrow).format("parquet")
     (writer.partitionBy(*partition) if partition else writer).save(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hypercell.functions.selection import Dim, Points, Span
 from hypercell.sources.descriptor import ROW
+from hypercell.sources.storage import shared_folder
 
 POS = "__pos__"
 #: Row lists of up to so many entries are broadcast; longer ones are joined by a shuffle.
@@ -46,9 +47,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str = ROW) -> DataFram
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hypercell-ckpt-"))
+        sc.setCheckpointDir(shared_folder(spark))
     dealt = df.orderBy(*order).withColumn("__at__", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("__at__", 33).cast("int")
     counts = sorted((r["p"], r["n"]) for r in dealt.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())

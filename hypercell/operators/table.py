@@ -16,9 +16,9 @@ from hypercell.config import strategy
 from hypercell.errors import InvalidTable, NotSupported
 from hypercell.functions import ndexpr as N
 from hypercell.functions import selection as S
-from hypercell.functions.types import cell_type
+from hypercell.functions.types import cell_type, depth_of
 from hypercell.operators import cells
-from hypercell.operators.rows import BROADCAST_ROWS, POS, number_rows, select_rows
+from hypercell.operators.rows import POS, number_rows, select_rows
 from hypercell.sources import descriptor as D
 from hypercell.sources.descriptor import ROW
 from hypercell.sources.storage import Store, split
@@ -36,7 +36,8 @@ class Table:
     Reads build DataFrames (``df``, ``select``, ``cells``, ``shapes``); ``to_arrow``, ``getcol`` and ``row_shapes`` bring a result to the driver.
     """
 
-    def __init__(self, spark: SparkSession, df: DataFrame, desc: dict, path: str | None = None, readonly: bool = False, ninstances: int = 1, lockoptions="auto", strict: bool = False, order: list | None = None):
+    def __init__(self, spark: SparkSession, df: DataFrame, desc: dict, path: str | None = None, readonly: bool = False, ninstances: int = 1, lockoptions="auto", strict: bool = False, order: list | None = None, rows: int | None = None):
+        self._rows = rows
         self.spark, self._df, self._desc, self._path = spark, df, desc, path
         self._instances, self._lock, self._order = ninstances, lockoptions, order
         # Opening read-only does not refuse writes unless asked to be strict.
@@ -51,7 +52,7 @@ class Table:
         store = Store(spark, split(str(filename)))
         if not store.exists():
             raise InvalidTable(f"{filename} is not a table")
-        return cls(spark, store.read(), store.descriptor(), store.path, readonly, ninstances, lockoptions, strict)
+        return cls(spark, store.read(), store.descriptor(), store.path, readonly, ninstances, lockoptions, strict, rows=store.rows())
 
     @classmethod
     def from_dataframe(cls, df: DataFrame, desc: dict | None = None, row: str | None = None, order: Sequence | None = None) -> "Table":
@@ -123,7 +124,9 @@ class Table:
         """All rows and columns with ``__row__``, in no order."""
         self._live()
         if ROW not in self._df.columns:
-            self._df = number_rows(self._df, self._order or [F.lit(0)])
+            if not self._order:
+                raise InvalidTable("the table's rows have no order")
+            self._df = number_rows(self._df, self._order)
         return self._df
 
     def name(self) -> str | None:
@@ -131,7 +134,9 @@ class Table:
 
     def nrow(self) -> int:
         self._live()
-        return self._df.count()
+        if self._rows is None:
+            self._rows = self._df.count()
+        return self._rows
 
     def columns(self) -> list[str]:
         self._live()
@@ -208,6 +213,15 @@ class Table:
                 df = df.withColumn(c, unflatten(F.col(c), lo))
         return df.select(ROW, POS, *keep), keep
 
+    def scan(self, columns: str | Sequence[str] | None = None) -> DataFrame:
+        """All rows in no order, lazily; in a scan of all columns, those without a common rank are left out."""
+        self._live()
+        wanted = [columns] if isinstance(columns, str) else list(columns if columns is not None else self.columns())
+        for c in wanted:
+            self._column(c)
+        df, wanted = self._nested(self._df.withColumns({k: F.lit(0).cast("long") for k in (POS, ROW) if k not in self._df.columns}), wanted, columns is not None)
+        return df.select(*wanted)
+
     def to_arrow(self, index: S.Index = None, columns: str | Sequence[str] | None = None) -> pa.Table:
         """Selected rows in order, as an Arrow table with the descriptors as metadata.
 
@@ -329,7 +343,7 @@ class Table:
 
     def _commit(self, store: Store, df: DataFrame, desc: dict, clustered: bool = False) -> None:
         store.commit(df, desc, clustered)
-        self._desc, self._df = desc, store.read()
+        self._desc, self._df, self._rows = desc, store.read(), store.rows()
 
     def addrows(self, nrow: int) -> None:
         """Append rows of defaults: zeros, empty strings and false; fixed shapes are filled with them, other cells are missing."""
@@ -386,7 +400,8 @@ class Table:
         self.put_cells(column, update.withColumnRenamed("__at__", ROW), index=_raw([None, *inner]), local=True)
 
     def put_cells(self, column: str, updates: DataFrame, index: S.Index = None, local: bool = False) -> None:
-        """Put ``cell`` of ``updates`` (``__row__`` and ``cell``, distinct rows) at the selected places of those rows' cells.
+        """Put ``cell`` of ``updates`` (``__row__`` and ``cell``, distinct rows) at the selected places of those rows' cells. A value
+        that the column's type would change, and a null inside a cell, are errors.
 
         A join on the row; the rest of a cell stays. A missing cell gets the update's shape, grown to the selection's end and filled
         with defaults. ``local``: the updates come from the driver's memory, and are broadcast if they are few.
@@ -396,12 +411,18 @@ class Table:
         kind = cell_type(d["valueType"])
         inner = S.normalise(index)[1:]
         rank = D.depth(d) - kind.is_complex
-        small = local and updates.limit(BROADCAST_ROWS + 1).count() <= 10_000
-        update = updates.select(ROW, F.col("cell").cast(self.df.schema[column].dataType if not D.is_flat(d) else updates.schema["cell"].dataType).alias("__cell__"), F.lit(True).alias("__put__"))
+        small = local and updates.limit(10_001).count() <= 10_000
+        levels, source = depth_of(updates.schema["cell"].dataType)
+        if not D.is_flat(d) and levels != D.depth(d):
+            raise InvalidTable(f"cells of {levels} levels do not fit column {column} of {D.depth(d)}")
+        cell = N.each(F.col("cell"), levels, lambda x: N.checked_cast(x, source, kind.name))
+        if levels:
+            cell = F.when(N.has_null(F.col("cell"), levels), F.raise_error(F.lit(f"a cell for column {column} holds a null"))).otherwise(cell)
+        update = updates.select(ROW, cell.alias("__cell__"), F.lit(True).alias("__put__"))
         joined = self.df.join(F.broadcast(update) if small else update, ROW, "left")
         old, new = F.col(column), F.col("__cell__")
         if D.is_flat(d):
-            depth = _depth(updates.schema["cell"].dataType)
+            depth = levels
             ranks = depth - kind.is_complex
             body = F.struct((F.array(*[n.cast("int") for n in N.sizes(new, ranks)]) if ranks else F.array().cast("array<int>")).alias("shape"), (N.flat(new, depth - kind.is_complex) if ranks else F.array(new)).alias("data"))
         elif not rank or not any(x is not None for x in inner):

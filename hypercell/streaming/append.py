@@ -15,7 +15,7 @@ _KEY = "_last_batch_"
 
 def append_to(stream: DataFrame, path: str, order: Sequence[str]) -> DataStreamWriter:
     """Rows of each batch in the given total order behind the rows before; a batch that is repeated after a failure is
-    recognised by its number, which the table's descriptor keeps, and appended once. Start the writer with a checkpoint location."""
+    recognised by its number, which the manifest keeps beside the rows, so it is appended once wherever the failure was. Start the writer with a checkpoint location."""
 
     def add(batch: DataFrame, number: int) -> None:
         t = Table.from_filename(path, spark=batch.sparkSession)

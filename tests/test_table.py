@@ -247,6 +247,65 @@ def test_stored_versions(getcol):
     assert_array_equal(hypercell.table(getcol.name()).getcol("TIME"), [0, 1, 2])
 
 
+def test_a_writer_that_stops_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    from hypercell.sources.storage import Store
+
+    p = str(tmp_path / "w")
+    create(spark, p, {"A": D.column("int")}).addrows(2)
+    before = Store(spark, p).version()
+
+    class Broken:
+        def __init__(self, fs, step):
+            self.fs, self.step = fs, step
+
+        def __getattr__(self, name):
+            if name == self.step:
+                raise OSError("stopped")
+            return getattr(self.fs, name)
+
+    for step in ("create", "rename"):
+        with monkeypatch.context() as m:
+            start = Store.__init__
+
+            def stopping(self, *a, step=step, start=start):
+                start(self, *a)
+                self._fs = Broken(self._fs, step)
+
+            m.setattr(Store, "__init__", stopping)
+            with pytest.raises(OSError, match="stopped"):
+                hypercell.table(p).addrows(3)
+        t = hypercell.table(p)
+        assert Store(spark, p).version() == before and t.nrow() == 2 and t.getcol("A").tolist() == [0, 0]
+    # What stopped writers left under the next number is written over.
+    t.putcol("A", np.array([4, 5], np.int32))
+    assert Store(spark, p).version() == before + 1 and hypercell.table(p).getcol("A").tolist() == [4, 5]
+    assert Store(spark, p).vacuum() > 0 and hypercell.table(p).getcol("A").tolist() == [4, 5]
+
+
+def test_updates_in_a_dataframe_are_checked(spark, tmp_path):
+    t = create(spark, str(tmp_path / "u"), {"I": D.column("int"), "V": D.column("float", shape=[3]), "S": D.column("string")})
+    t.addrows(1)
+    for column, cell, kind in (("I", 1.75, "double"), ("I", 1 << 40, "long"), ("I", "1", "string"), ("S", 1, "int"), ("V", [1.0, None, 3.0], "array<double>"), ("V", [(1 << 24) + 1, 0, 0], "array<long>"), ("V", 1.0, "double")):
+        with pytest.raises(Exception):
+            t.put_cells(column, spark.createDataFrame([(0, cell)], f"__row__ long, cell {kind}"))
+    t.put_cells("V", spark.createDataFrame([(0, [1, 2, 3])], "__row__ long, cell array<long>"))
+    t.put_cells("I", spark.createDataFrame([(0, 7.0)], "__row__ long, cell double"))
+    assert t.getcol("V").tolist() == [[1, 2, 3]] and t.getcol("I").tolist() == [7]
+
+
+def test_timestamps(spark, tmp_path):
+    df = spark.sql("SELECT id AS k, make_timestamp_ntz(2024, 1, cast(id + 1 AS int), 0, 0, 0) AS at FROM range(3)")
+    t = write_table(df.withColumn("r", df["k"]), str(tmp_path / "ts"), row="r")
+    assert [str(x)[:10] for x in t.getcol("at")] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    t.addrows(1)
+    assert str(t.getcol("at")[3])[:4] == "1970"
+
+
+def test_rows_without_an_order(spark):
+    with pytest.raises(InvalidTable):
+        _ = Table(spark, spark.range(3), D.of_schema(spark.range(3).schema)).df
+
+
 def test_write_dataframe(spark, tmp_path):
     df = spark.range(10).selectExpr("9 - id AS k", "array(id, id + 1) AS v")
     t = write_table(df, str(tmp_path / "w"), order=["k"])
