@@ -129,13 +129,12 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose ``column`` holds about ``size`` bytes; a longer value stands alone."""
-    arr = batch.column(column)
+def chunks(batch: pa.RecordBatch, column: int | tuple[int, ...], size: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose ``column`` (or columns) hold about ``size`` bytes; a longer value stands alone."""
     n = batch.num_rows
     if not n:
         return
-    lens = np.asarray(pc.fill_null(pc.binary_length(arr), 0), dtype=np.int64)
+    lens = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0), dtype=np.int64) for c in (column if isinstance(column, tuple) else (column,)))
     ends = np.cumsum(lens)
     at = 0
     while at < n:

@@ -129,7 +129,7 @@ def scan(df: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str
         after = next(parts, None)
         shared = spark.sparkContext.broadcast(now)
         last = after is None
-        out = out.mapInArrow(_scanner(shared, window, last), kinds("id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<long>, contaminated boolean" if last else f"id long, text string, runs {state}, items array<long>"))
+        out = out.mapInArrow(lean(_scanner(shared, window, last)), kinds("id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<long>, contaminated boolean" if last else f"id long, text string, runs {state}, items array<long>"))
         now = after
     return out.withColumnRenamed("id", id_col)
 
@@ -143,9 +143,21 @@ def clean(df: DataFrame, bench: DataFrame, text_col: str = "text", **how) -> Dat
 _NO_ID = "hypercell no id"
 
 
+_live: list = []
+
+
+def matcher(items: Sequence[tuple[int, str]], window: int) -> Matcher:
+    """This process's automaton, which the tasks of one scan share."""
+    for held, size, made in _live:
+        if held is items and size == window:
+            return made
+    _live[:] = [(items, window, Matcher(items, window))]
+    return _live[0][2]
+
+
 def _scanner(shared, window: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(shared.value, window)
+        m = matcher(shared.value, window)
         for batch in batches:
             for part in chunks(batch, 1, 2 << 20):
                 texts = part.column(1).to_pylist()

@@ -117,7 +117,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in chunks(batch, 2, 1 << 20):
+        for part in chunks(batch, (2, 3), 1 << 20):
             a, b = part.column(2).to_pylist(), part.column(3).to_pylist()
             x, x_ends = shingles(a)
             y, y_ends = shingles(b)
@@ -197,7 +197,7 @@ def crowd_pairs(crowd: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFram
     counts = texts.mapInArrow(lean(_count), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(COUNTERS, np.int32)
     table[counts.column("counter").to_numpy()] = np.minimum(counts.column("n").to_numpy(), np.iinfo(np.int32).max)
-    placed = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast(table)), "rep long, shingle long, place long, before long")
+    placed = texts.mapInArrow(lean(_prefixes(spark.sparkContext.broadcast(table))), "rep long, shingle long, place long, before long")
     placed = durable(placed.join(crowd, "rep"))
     x, y = (placed.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "group", "place", "before")]) for k in "ab")
     overlap = F.ceil(SIMILAR * (F.col("n_a") + F.col("n_b")) / (100 + SIMILAR))
@@ -245,14 +245,16 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     mixed = durable(prefix.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"), F.count("*").alias("members")).where("g <> h").select("key", "members"))
     prefix = durable(prefix.join(mixed, "key"))
     crowd = prefix.where(F.col("members") > CROWD).select("rep", "n", "group").distinct()
-    lists = prefix.where(F.col("members") <= CROWD)
-    x = lists.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"))
-    y = lists.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
-    near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (100 * F.least("na", "nb") >= SIMILAR * F.greatest("na", "nb"))
-    pairs = x.join(y, "key").where(near).select("a", "b").unionByName(crowd_pairs(durable(crowd), texts, reps)).distinct()
-    sig_a, sig_b = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-    pairs = pairs.join(sig_a, "a").join(sig_b, "b").where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b")
-    more = confirm(pairs, texts, reps)
+    # Members of a list meet with half of each key of their signatures at hand, so that only pairs that agree in enough leave the join.
+    half = reps.select("rep", F.transform("sig", lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("sig"))
+    lists = durable(prefix.where(F.col("members") <= CROWD).join(half, "rep"))
+    x, y = (lists.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "group", "sig")]) for k in "ab")
+    near = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b")) & (100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
+    met = x.join(y, (x["key"] == y["key"]) & near & (F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    crowd = crowd_pairs(durable(crowd), texts, reps)
+    sig_a, sig_b = half.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), half.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+    crowd = crowd.join(sig_a, "a").join(sig_b, "b").where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b")
+    more = confirm(met.unionByName(crowd).distinct(), texts, reps)
     label = components(found.unionByName(more)).withColumnRenamed("node", "rep")
 
     placed = member.select("id", "rep").distinct().join(label, "rep", "left").select("id", F.coalesce("label", "rep").alias("component"))

@@ -52,6 +52,15 @@ def test_second_pass_finds_what_the_first_leaves(spark, monkeypatch, first_pass)
     check(spark, [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()])
 
 
+def test_query(spark):
+    from hypercell.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    want = brute.near([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+    got = queries.op9_near_dedup(spark, sf).collect()
+    assert sorted(tuple(r) for r in got) == sorted((i, n, c, i == c) for i, (n, c) in want.items())
+
+
 def test_short_texts(spark):
     check(spark, [(1, "a b"), (2, "A\tB"), (3, "b a"), (4, "a b c d e"), (5, "a b c d e f"), (6, "a b c d e f g h i j"), (7, "a b c d e f g h i"), (8, ""), (9, None), (10, "\n")])
 
