@@ -263,7 +263,7 @@ class Codec:
             _, one = np.unique(h, return_index=True)
         one = new[one]
         self._learn(h[one], buf, starts[one], lens[one])
-        entry = self.memo.find(h, buf, starts, lens)
+        entry[new] = self.memo.find(h[new], buf, starts[new], lens[new])
         left = np.flatnonzero(entry < 0)  # no room, or two share a hash
         entry[left] = 0
         return entry, [(i, merge(buf[starts[i] : starts[i] + lens[i]].tobytes(), self.ranks)) for i in left.tolist()]

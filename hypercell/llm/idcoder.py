@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 
 #: Ids of a block, blocks coded side by side, and the first id that is too large.
-BLOCK, LANES, MAX_ID = 2048, 2048, 1 << 24
+BLOCK, LANES, MAX_ID = 2048, 4096, 1 << 24
 
 _B1, _B2 = 9, 10  # bits of the slots of the contexts of one and two ids
 _TOTAL = 12  # bits of the coder's frequencies

@@ -18,7 +18,7 @@ from hypercell.llm import idcoder, words
 from hypercell.llm.common import chunks, id_text, lean, ragged, raw, ship
 
 #: Bytes of text that a worker tokenizes at once, and ids from which on a segment is closed behind a document.
-CHUNK_BYTES, SEGMENT_IDS = 1 << 20, 4 << 20
+CHUNK_BYTES, SEGMENT_IDS = 1 << 20, 8 << 20
 #: Two to this power are the slots for pieces whose ids a worker remembers; the memory starts anew when half of them are used.
 MEMO_BITS = 20
 #: Largest tokenizer file that is broadcast.
@@ -87,7 +87,7 @@ class Tokens:
                 self._forget()
                 new = np.arange(len(h))
             self._learn(h[new], buf, starts[new], lens[new])
-            entry = self.known.find(h, buf, starts, lens)
+            entry[new] = self.known.find(h[new], buf, starts[new], lens[new])
             if (entry < 0).any():  # two pieces share a hash
                 return self._words(buf, starts, lens)
         n = self.n[entry]

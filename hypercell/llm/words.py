@@ -35,7 +35,7 @@ def kinds() -> np.ndarray:
     global _kinds
     if _kinds is None:
         table = np.zeros(0x110000, np.uint8)
-        points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+        points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4").tobytes().decode("utf-32-le")
         for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
             for m in regex.finditer(pattern + "+", points):
                 a, b = (p if p < 0xD800 else p + 0x800 for p in m.span())
