@@ -22,6 +22,7 @@ _ONE = 1 << _TOTAL
 _LOW = 8  # bits of a number within its bucket that are coded at once
 _MOST = _ONE - _ONE // 16  # what one context gets at most
 _RATE = 5
+_STEP = np.int32(_ONE >> _RATE)
 # The range stays between 2 ** 32 and 2 ** 48 from id to id; digits have 16 bits.
 _FLOOR, _BELOW = 1 << 32, (1 << 32) - 1
 # The share at first for each step of confidence, from 1 to 7.
@@ -85,24 +86,23 @@ class _Model:
         f1, f2 = np.minimum(c1 * s1[:k], _MOST), np.minimum(c2 * s2[:k], _MOST)
         f1 *= _ONE - f2
         f1 >>= _TOTAL
-        alike = self.x1 == self.x2
-        np.add(f2, f1, out=f2, where=alike)
-        np.copyto(f1, 0, where=alike)
+        both = f1 * (self.x1 == self.x2)
+        f2 += both
+        f1 -= both
         self.f1, self.f2, self.a1 = f1, f2, f1 + f2
 
     def update(self, x: np.ndarray) -> None:
         fresh = (x << 3) | 1
         for table, at, e, c, y, share in zip(self.tables, self.at, self.entry, self.conf, (self.x1, self.x2), self.share, strict=True):
+            known = c > 0
             hit = x == y
-            hit &= c > 0
-            new = e - 1
-            np.copyto(new, np.minimum(e + 1, e | 7), where=hit)
-            np.copyto(new, fresh, where=(c < 2) & ~hit)
-            table[at] = new
+            hit &= known
+            table[at] = np.where(hit, np.minimum(e + 1, e | 7), np.where(c < 2, fresh, e - 1))
             s = share[: self.k]
             step = s >> _RATE
-            np.subtract(step, _ONE >> _RATE, out=step, where=hit)
-            np.subtract(s, step, out=s, where=c > 0)
+            step -= hit * _STEP
+            step *= known
+            s -= step
 
 
 class _Encoder:
@@ -135,7 +135,7 @@ class _Encoder:
         lanes = len(self.low)
         self.out.append((np.arange(lanes, dtype=np.int32), ((self.low + _BELOW) >> 32).astype(np.int32)))
         lane, digit = (np.concatenate(x) for x in zip(*self.out, strict=True))
-        digit = digit[np.argsort(lane, kind="stable")]
+        digit = digit[np.argsort(lane.astype(np.uint16) if lanes <= 1 << 16 else lane, kind="stable")]  # numbers of 16 bits are sorted by radix
         while (over := digit >> 16).any():
             digit &= 0xFFFF
             digit[:-1] += over[1:]
@@ -191,12 +191,9 @@ def _active(lens: np.ndarray) -> np.ndarray:
 
 def _bounds(model: _Model, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and size of the share of a hit, or of what is left to all other ids."""
-    start, freq = model.a1.astype(np.int64), (_ONE - model.a1).astype(np.int64)
-    np.copyto(start, model.f2, where=hit1)
-    np.copyto(freq, model.f1, where=hit1)
-    np.copyto(start, 0, where=hit2)
-    np.copyto(freq, model.f2, where=hit2)
-    return start, freq
+    start = np.where(hit2, 0, np.where(hit1, model.f2, model.a1))
+    freq = np.where(hit2, model.f2, np.where(hit1, model.f1, _ONE - model.a1))
+    return start.astype(np.int64), freq.astype(np.int64)
 
 
 def encode_blocks(ranks: np.ndarray, lens: np.ndarray, zero: Order0) -> list[bytes]:
@@ -228,12 +225,9 @@ def encode_blocks(ranks: np.ndarray, lens: np.ndarray, zero: Order0) -> list[byt
             known = hit2 | hit1
             coder.put(k, *_bounds(model, hit2, hit1))
             # An id that a context predicted takes nothing of these.
-            s, f, b, value = start[t, :k], freq[t, :k], bits[t, :k], rest[t, :k]
-            np.copyto(s, 0, where=known)
-            np.copyto(f, _ONE, where=known)
-            np.copyto(b, 0, where=known)
-            np.copyto(value, 0, where=known)
-            coder.put(k, s, f)
+            other = ~known
+            b, value = bits[t, :k] * other, rest[t, :k] * other
+            coder.put(k, start[t, :k] * other, np.where(known, _ONE, freq[t, :k]))
             if wide_ranks:
                 low = np.minimum(b, _LOW)
                 coder.put_bits(k, value & ((1 << low) - 1), low)
@@ -263,11 +257,9 @@ def decode_blocks(blocks: list[bytes], lens: np.ndarray, zero: Order0) -> np.nda
         hit1 = known & ~hit2
         coder.take(k, *_bounds(model, hit2, hit1))
         of = zero.find.take(coder.look(k), mode="clip")
-        s, f, b = zero.start.take(of), zero.freq.take(of), zero.open.take(of)
-        np.copyto(s, 0, where=known)
-        np.copyto(f, _ONE, where=known)
-        np.copyto(b, 0, where=known)
-        coder.take(k, s, f)
+        other = ~known
+        b = zero.open.take(of) * other
+        coder.take(k, zero.start.take(of) * other, np.where(known, _ONE, zero.freq.take(of)))
         if wide_ranks:
             low = np.minimum(b, _LOW)
             value = coder.take_bits(k, low)
@@ -276,9 +268,7 @@ def decode_blocks(blocks: list[bytes], lens: np.ndarray, zero: Order0) -> np.nda
         else:
             value = coder.take_bits(k, b)
         coder.settle(k)
-        x = (zero.first.take(of) + value).astype(np.int32)
-        np.copyto(x, model.x1, where=hit1)
-        np.copyto(x, model.x2, where=hit2)
+        x = np.where(hit2, model.x2, np.where(hit1, model.x1, (zero.first.take(of) + value).astype(np.int32)))
         grid[t, :k] = x
         model.update(x)
         two[:k] = one[:k]
