@@ -20,7 +20,7 @@ from hypercell.llm.common import chunks, id_text, lean, ragged, raw, ship
 #: Bytes of text that a worker tokenizes at once, and ids from which on a segment is closed behind a document.
 CHUNK_BYTES, SEGMENT_IDS = 1 << 20, 8 << 20
 #: Two to this power are the slots for pieces whose ids a worker remembers; the memory starts anew when half of them are used.
-MEMO_BITS = 20
+MEMO_BITS = 21
 #: Largest tokenizer file that is broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 
