@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents for training."""
+"""Labelled documents for training."""
 
 from __future__ import annotations
 
@@ -14,11 +14,15 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def sample(labels: DataFrame, label_col: str, id_col: str = "doc_id", folds: int = 1, held_out: int | None = None, limit: int = MAX_TRAINING_ROWS) -> list[tuple[int, int]]:
-    """At most ``limit`` pairs of an id and a label 0 or 1, outside fold ``held_out``; null ids and labels are left out."""
+def outside(labels: DataFrame, label_col: str, id_col: str = "doc_id", folds: int = 1, held_out: int | None = None) -> DataFrame:
+    """``id`` and label ``y``, 0 or 1, outside fold ``held_out``; null ids and labels are left out."""
     src = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    if held_out is not None:
-        src = src.where(fold("id", folds) != held_out)
+    return src if held_out is None else src.where(fold("id", folds) != held_out)
+
+
+def sample(labels: DataFrame, label_col: str, id_col: str = "doc_id", folds: int = 1, held_out: int | None = None, limit: int = MAX_TRAINING_ROWS) -> list[tuple[int, int]]:
+    """At most ``limit`` pairs of an id and a label of those ``outside`` the fold."""
+    src = outside(labels, label_col, id_col, folds, held_out)
     rows = src.orderBy(F.xxhash64("id"), "id", "y").limit(limit).collect()
     return [(r["id"], r["y"]) for r in rows]
 

@@ -104,9 +104,9 @@ def _scored(scores: DataFrame, folds: int, held_out: int, cut: float) -> DataFra
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    model = quality.train(docs, _table(spark, sf_dir, "labels"), folds=QUALITY_FOLDS, held_out=QUALITY_HELD_OUT)
-    return _scored(quality.score(docs, model), QUALITY_FOLDS, QUALITY_HELD_OUT, quality.CUT)
+    measured = quality.measure(_table(spark, sf_dir, "documents"))
+    model = quality.train_measured(measured, _table(spark, sf_dir, "labels"), folds=QUALITY_FOLDS, held_out=QUALITY_HELD_OUT)
+    return _scored(quality.score_measured(measured, model), QUALITY_FOLDS, QUALITY_HELD_OUT, quality.CUT)
 
 
 def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:

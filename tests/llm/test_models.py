@@ -70,6 +70,42 @@ def test_preferences_rank():
     assert m.weights[0] > 0 > m.weights[1]
 
 
+def test_weights_are_the_best_over_all_pairs():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4))
+    y = (x @ [2.0, -1.0, 0.0, 0.5] + rng.normal(size=400) > -0.6).astype(int)
+    m = quality.fit(x, y)
+    z = np.clip((x - x.mean(axis=0)) / x.std(axis=0), -8, 8)
+    diff = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, 4)
+    grad = diff.T @ (1 / (1 + np.exp(diff @ m.weights))) / len(diff) - 1e-3 * m.weights
+    assert np.abs(grad).max() < 1e-6
+    s = np.sort(z @ m.weights)
+    k = (y == 0).sum()
+    assert abs(m.threshold - (s[k - 1] + s[k]) / 2) < 1e-12 and abs(m.spread - s.std() / 4) < 1e-9
+
+
+@pytest.mark.parametrize("far", [1e-9, 1.0, 3e4])
+def test_scores_of_any_size_have_their_rank(far):
+    s = np.random.default_rng(5).normal(size=500).round(2) * far
+    for ranks in ((0, 1), (200, 201), (498, 499)):
+        assert quality._ranked(lambda found: found(s[:, None], s), lambda x: x[:, 0], ranks) == [np.sort(s)[r] for r in ranks]
+
+
+def test_every_label_counts(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PART_ROWS", 2500)
+    monkeypatch.setattr(quality, "FAN", 3)
+    rng = np.random.default_rng(6)
+    words = ["plain", "words", "of", "a", "text", "BUY", "NOW!!", "| 100 |", "and", "so"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 9)).tolist()), int(rng.random() < 0.8)) for i in range(24_000)]
+    docs = spark.createDataFrame([(i, t + " #" * (1 - y) * (i % 3)) for i, t, y in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    got, again = quality.train(docs, labels), quality.train(docs.repartition(7), labels.repartition(5))
+    plain = quality.fit(np.array([quality.features(t + " #" * (1 - y) * (i % 3)) for i, t, y in rows]), np.array([y for _, _, y in rows]))
+    for name in ("mean", "scale", "weights", "threshold", "spread"):
+        assert np.allclose(getattr(got, name), getattr(plain, name), rtol=1e-6, atol=1e-9)
+        assert np.array_equal(getattr(got, name), getattr(again, name))
+
+
 def test_without_preferences():
     m = quality.fit(np.ones((3, 2)), np.ones(3, int))
     assert np.allclose(m.score(np.zeros((2, 2))), quality.CUT)
