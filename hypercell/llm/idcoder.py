@@ -42,17 +42,34 @@ def _slots(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a >> (32 - _B1), ((b * _H1) & 0xFFFFFFFF) >> (32 - _B2)
 
 
+def _mask(where: np.ndarray) -> np.ndarray:
+    """All bits set where a condition holds; choosing by bits costs no mispredicted branches, unlike ``np.where``."""
+    out = where.astype(np.int32)
+    return np.negative(out, out=out)
+
+
+def _pick(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a`` where the mask is set, else ``b``."""
+    out = a ^ b
+    out &= mask
+    out ^= b
+    return out
+
+
 class Order0:
     """How often each bucket of ranks occurs, in shares of ``_ONE``."""
 
     def __init__(self, freq: np.ndarray, n_ranks: int):
         self.freq = freq.astype(np.int64)
         self.start = np.cumsum(self.freq) - self.freq
-        self.find = np.repeat(np.arange(len(freq)), self.freq)
         self.rank, self.bits = bucket(np.arange(n_ranks))
         n = np.arange(len(freq))
         self.open = np.maximum((n >> 4) - 1, 0)
         self.first = np.where(n < 32, n, ((n & 15) + 16) << self.open)
+        # The same by each place in the whole share.
+        find = np.repeat(n, self.freq)
+        self.start_at, self.freq_at = self.start[find].astype(np.int32), self.freq[find].astype(np.int32)
+        self.open_at, self.first_at = self.open[find].astype(np.int32), self.first[find].astype(np.int32)
 
     @classmethod
     def of(cls, counts: np.ndarray) -> "Order0":
@@ -74,6 +91,7 @@ class _Model:
         self.tables = (np.zeros(lanes << _B1, np.int32), np.zeros(lanes << _B2, np.int32))
         self.base = (np.arange(lanes, dtype=np.int64) << _B1, np.arange(lanes, dtype=np.int64) << _B2)
         self.share = (np.full(lanes, _START, np.int32), np.full(lanes, _START, np.int32))
+        self.most = np.full(lanes, _MOST, np.int32)
 
     def predict(self, at: tuple[np.ndarray, np.ndarray], k: int) -> None:
         """What gets which share: the context of two ids first, that of one id a part of what is left."""
@@ -83,7 +101,8 @@ class _Model:
         self.entry = (e1, e2)
         self.conf = c1, c2 = e1 & 7, e2 & 7
         self.x1, self.x2 = e1 >> 3, e2 >> 3
-        f1, f2 = np.minimum(c1 * s1[:k], _MOST), np.minimum(c2 * s2[:k], _MOST)
+        most = self.most[:k]
+        f1, f2 = np.minimum(c1 * s1[:k], most), np.minimum(c2 * s2[:k], most)
         f1 *= _ONE - f2
         f1 >>= _TOTAL
         both = f1 * (self.x1 == self.x2)
@@ -91,28 +110,36 @@ class _Model:
         f1 -= both
         self.f1, self.f2, self.a1 = f1, f2, f1 + f2
 
-    def update(self, x: np.ndarray) -> None:
+    def update(self, x: np.ndarray, same: tuple[np.ndarray, np.ndarray]) -> None:
+        """``same``: where each context predicted ``x``."""
         fresh = (x << 3) | 1
-        for table, at, e, c, y, share in zip(self.tables, self.at, self.entry, self.conf, (self.x1, self.x2), self.share, strict=True):
+        for table, at, e, c, equal, share in zip(self.tables, self.at, self.entry, self.conf, same, self.share, strict=True):
             known = c > 0
-            hit = x == y
-            hit &= known
-            table[at] = np.where(hit, np.minimum(e + 1, e | 7), np.where(c < 2, fresh, e - 1))
+            hit = equal & known
+            one = hit.astype(np.int32)
+            new = e - 1
+            one += one
+            new += one
+            np.minimum(new, e | 7, out=new)
+            table[at] = _pick(_mask((c < 2) > hit), fresh, new)
             s = share[: self.k]
             step = s >> _RATE
-            step -= hit * _STEP
+            one *= _STEP // 2
+            step -= one
             step *= known
             s -= step
 
 
 class _Encoder:
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, (1 << 48) - 1, np.int64)
-        self.out: list[tuple[np.ndarray, np.ndarray]] = []  # lanes and their next digits
+        # The first digits of all lanes, then the second ones, and so on; an id takes 48 bits at most. Only what is written takes memory.
+        self.out = np.empty(lanes * (3 * steps + 4), np.int32)
+        self.at = np.arange(lanes, dtype=np.int64)
 
     def put(self, k: int, start: np.ndarray, freq: np.ndarray) -> None:
-        r = self.range[:k] >> _TOTAL
+        r = self.range[:k] >> 2 * _TOTAL
         self.low[:k] += r * start
         np.multiply(r, freq, out=self.range[:k])
 
@@ -124,22 +151,24 @@ class _Encoder:
     def settle(self, k: int) -> None:
         small = np.flatnonzero(self.range[:k] < _FLOOR)
         while len(small):
-            x, rng = self.low[small], self.range[small] << 16
-            self.out.append((small.astype(np.int32), (x >> 32).astype(np.int32)))  # 17 bits: the carry is settled at the end
+            x, rng, at = self.low[small], self.range[small] << 16, self.at[small]
+            self.out[at] = x >> 32  # 17 bits: the carry is settled at the end
+            self.at[small] = at + len(self.at)
             self.low[small] = (x & _BELOW) << 16
             self.range[small] = rng
             small = small[rng < _FLOOR]
 
     def digits(self) -> list[bytes]:
         # The range holds a number whose digits but the first are zero.
-        lanes = len(self.low)
-        self.out.append((np.arange(lanes, dtype=np.int32), ((self.low + _BELOW) >> 32).astype(np.int32)))
-        lane, digit = (np.concatenate(x) for x in zip(*self.out, strict=True))
-        digit = digit[np.argsort(lane.astype(np.uint16) if lanes <= 1 << 16 else lane, kind="stable")]  # numbers of 16 bits are sorted by radix
+        self.out[self.at] = (self.low + _BELOW) >> 32
+        lanes = len(self.at)
+        lens = self.at // lanes + 1
+        rows = int(lens.max(initial=0))
+        digit = np.ascontiguousarray(self.out[: rows * lanes].reshape(rows, lanes).T)[np.arange(rows)[None, :] < lens[:, None]]
         while (over := digit >> 16).any():
             digit &= 0xFFFF
             digit[:-1] += over[1:]
-        data, ends = digit.astype("<u2").tobytes(), np.cumsum(np.bincount(lane, minlength=lanes)).tolist()
+        data, ends = digit.astype("<u2").tobytes(), np.cumsum(lens).tolist()
         return [data[2 * a : 2 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -159,9 +188,9 @@ class _Decoder:
         self.range = np.full(len(blocks), (1 << 48) - 1, np.int64)
 
     def look(self, k: int) -> np.ndarray:
-        self.r = self.range[:k] >> _TOTAL
-        # Exact: both are whole numbers below 2 ** 48 and the quotient has 12 bits.
-        return np.minimum((self.code[:k] / self.r).astype(np.int64), _ONE - 1)
+        self.r = self.range[:k] >> 2 * _TOTAL
+        # Exact: both are whole numbers below 2 ** 48, and the quotient has 24 bits and is 2 ** -24 from the next number at least.
+        return np.minimum((self.code[:k] / self.r).astype(np.int32), _ONE * _ONE - 1)
 
     def take(self, k: int, start: np.ndarray, freq: np.ndarray) -> None:
         self.code[:k] -= self.r * start
@@ -189,45 +218,58 @@ def _active(lens: np.ndarray) -> np.ndarray:
     return len(lens) - np.searchsorted(np.sort(lens), np.arange(int(lens.max(initial=0))), side="right")
 
 
-def _bounds(model: _Model, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of the share of a hit, or of what is left to all other ids."""
-    start = np.where(hit2, 0, np.where(hit1, model.f2, model.a1))
-    freq = np.where(hit2, model.f2, np.where(hit1, model.f1, _ONE - model.a1))
-    return start.astype(np.int64), freq.astype(np.int64)
+def _bounds(model: _Model, hit2: np.ndarray, known: np.ndarray, start: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the share of an id, of ``_ONE`` times ``_ONE``: of a context's hit (masks: of two ids, of
+    any), or of the id's bucket, which has ``start`` and ``freq``, in what the contexts leave."""
+    left = _ONE - model.a1
+    first = left * start
+    first += model.a1 << _TOTAL
+    size = left * freq
+    return _pick(known, (model.f2 & ~hit2) << _TOTAL, first), _pick(known, _pick(hit2, model.f2, model.f1) << _TOTAL, size)
+
+
+def _flat(lens: np.ndarray) -> bool:
+    """Whether all lanes but the last have the same length."""
+    return bool((lens[:-1] == lens[:1]).all())
 
 
 def encode_blocks(ranks: np.ndarray, lens: np.ndarray, zero: Order0) -> list[bytes]:
     """Code consecutive blocks of ``ranks`` of the given lengths (longest first) side by side."""
     lanes = len(lens)
     steps = int(lens.max(initial=0))
-    model, coder = _Model(lanes), _Encoder(lanes)
+    model, coder = _Model(lanes), _Encoder(lanes, steps)
     grid = np.zeros((lanes, steps), np.int32)
-    grid[np.arange(steps)[None, :] < lens[:, None]] = ranks
-    grid = np.ascontiguousarray(grid.T)
+    if _flat(lens):
+        grid.ravel()[: len(ranks)] = ranks
+    else:
+        grid[np.arange(steps)[None, :] < lens[:, None]] = ranks
+    start_of, freq_of, first_of, bits_of = (a.astype(np.int32) for a in (zero.start, zero.freq, zero.first, zero.bits))
     active = _active(lens).tolist()
     one = np.zeros((2, lanes), np.int64)
     wide_ranks = int(zero.bits.max(initial=0)) > _LOW
     for begin in range(0, steps, 64):  # what does not hang on the model, for many steps at once
-        part = grid[begin : begin + 64]
+        part = np.ascontiguousarray(grid[:, begin : begin + 64].T)
         wide = np.concatenate([one, part])
         one = wide[-2:]
         at1, at2 = _slots(wide[1:-1], wide[:-2])
         at1 += model.base[0]
         at2 += model.base[1]
-        of, bits = zero.rank[part], zero.bits[part]
-        start, freq = zero.start[of], zero.freq[of]
-        rest = part - zero.first[of]
+        of, bits = zero.rank[part], bits_of[part]
+        start, freq = start_of[of], freq_of[of]
+        rest = part - first_of[of]
         for t in range(len(part)):
             k = active[begin + t]
             x = part[t, :k]
             model.predict((at1[t, :k], at2[t, :k]), k)
-            hit2, hit1 = (x == model.x2) & (model.f2 > 0), (x == model.x1) & (model.f1 > 0)
-            known = hit2 | hit1
-            coder.put(k, *_bounds(model, hit2, hit1))
-            # An id that a context predicted takes nothing of these.
+            same = same1, same2 = x == model.x1, x == model.x2
+            hit2 = same2 & (model.f2 > 0)
+            known = same1 & (model.f1 > 0)
+            known |= hit2
+            known = _mask(known)
+            coder.put(k, *_bounds(model, _mask(hit2), known, start[t, :k], freq[t, :k]))
+            # An id that a context predicted takes no bits.
             other = ~known
-            b, value = bits[t, :k] * other, rest[t, :k] * other
-            coder.put(k, start[t, :k] * other, np.where(known, _ONE, freq[t, :k]))
+            b, value = bits[t, :k] & other, rest[t, :k] & other
             if wide_ranks:
                 low = np.minimum(b, _LOW)
                 coder.put_bits(k, value & ((1 << low) - 1), low)
@@ -236,7 +278,7 @@ def encode_blocks(ranks: np.ndarray, lens: np.ndarray, zero: Order0) -> list[byt
             else:
                 coder.put_bits(k, value, b)
             coder.settle(k)
-            model.update(x)
+            model.update(x, same)
     return coder.digits()
 
 
@@ -252,14 +294,11 @@ def decode_blocks(blocks: list[bytes], lens: np.ndarray, zero: Order0) -> np.nda
         at1, at2 = _slots(one[:k], two[:k])
         model.predict((at1 + model.base[0][:k], at2 + model.base[1][:k]), k)
         v = coder.look(k)
-        hit2 = v < model.f2
-        known = v < model.a1
-        hit1 = known & ~hit2
-        coder.take(k, *_bounds(model, hit2, hit1))
-        of = zero.find.take(coder.look(k), mode="clip")
-        other = ~known
-        b = zero.open.take(of) * other
-        coder.take(k, zero.start.take(of) * other, np.where(known, _ONE, zero.freq.take(of)))
+        place = v >> _TOTAL
+        hit2, known = _mask(place < model.f2), _mask(place < model.a1)
+        of = ((v - (model.a1 << _TOTAL)) / (_ONE - model.a1)).astype(np.int64)  # clipped where a context hit
+        coder.take(k, *_bounds(model, hit2, known, zero.start_at.take(of, mode="clip"), zero.freq_at.take(of, mode="clip")))
+        b = zero.open_at.take(of, mode="clip") & ~known
         if wide_ranks:
             low = np.minimum(b, _LOW)
             value = coder.take_bits(k, low)
@@ -268,18 +307,21 @@ def decode_blocks(blocks: list[bytes], lens: np.ndarray, zero: Order0) -> np.nda
         else:
             value = coder.take_bits(k, b)
         coder.settle(k)
-        x = np.where(hit2, model.x2, np.where(hit1, model.x1, (zero.first.take(of) + value).astype(np.int32)))
+        x = (zero.first_at.take(of, mode="clip") + value).astype(np.int32)
+        x = _pick(known, _pick(hit2, model.x2, model.x1), x)
         grid[t, :k] = x
-        model.update(x)
+        model.update(x, (x == model.x1, x == model.x2))
         two[:k] = one[:k]
         one[:k] = x
     flat = np.ascontiguousarray(grid.T)
+    if _flat(lens):
+        return flat.ravel()[: int(lens.sum())]
     return flat[np.arange(steps)[None, :] < lens[:, None]]
 
 
 # A segment: magic, documents, ids, blocks, bytes of the packed index; the index (document ids, then ids in each document, the number of
 # distinct ids, differences of these by falling frequency, shares of their buckets; zlib); of each block ids, bytes and CRC-32 of its ids; the blocks.
-_MAGIC = b"HCI2"
+_MAGIC = b"HCI3"
 _HEAD = struct.Struct("<4sIQII")
 
 

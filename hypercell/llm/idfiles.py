@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ from hypercell.llm.common import chunks, id_text, lean, ragged, raw, ship
 CHUNK_BYTES, SEGMENT_IDS = 1 << 20, 8 << 20
 #: Two to this power are the slots for pieces whose ids a worker remembers; the memory starts anew when half of them are used.
 MEMO_BITS = 21
+#: A byte that no text in UTF-8 has, and how many pieces, with it behind each, the library's model gets at once.
+APART, TOGETHER = 0xC0, 16
 #: Largest tokenizer file that is broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 
@@ -45,6 +48,13 @@ class Tokens:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = iter(range(256, 512))
         self.chars = [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+        # The id of ``APART`` and a tokenizer that is the model only, if pieces with that byte between them have the ids they have alone:
+        # merges go by their ranks, and none has that byte.
+        model = json.loads(definition)["model"]
+        plain = model.get("type") == "BPE" and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        merged = plain and any(self.chars[APART] in "".join(m) for m in model["merges"])
+        self.apart = model["vocab"].get(self.chars[APART]) if plain and not merged else None
+        self.model = Tokenizer(self.tokenizer.model) if self.apart is not None else None
         self._forget()
 
     def _forget(self) -> None:
@@ -58,10 +68,20 @@ class Tokens:
 
     def _words(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each piece by the library's model, which is what follows the split."""
+        ends = np.cumsum(lens)
+        if self.apart is not None:
+            bounds = ends + np.arange(1, len(ends) + 1)
+            data = np.insert(buf[ragged(starts, lens)], ends, APART).tobytes().decode("latin-1").translate(self.chars)
+            cuts = [0, *bounds[TOGETHER - 1 : -1 : TOGETHER].tolist(), len(data)]
+            found = [e.ids for e in self.model.encode_batch_fast([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.uint32)
+            at = np.flatnonzero(ids == self.apart)
+            if len(at) == len(lens):
+                return np.delete(ids, at), np.diff(at, prepend=-1) - 1
         data = buf[ragged(starts, lens)].tobytes().decode("latin-1").translate(self.chars)
         tokenize = self.tokenizer.model.tokenize
-        ends = np.cumsum(lens).tolist()
-        found = [[t.id for t in tokenize(data[a:b])] for a, b in zip([0, *ends], ends)]  # noqa: B905
+        cuts = [0, *ends.tolist()]
+        found = [[t.id for t in tokenize(data[a:b])] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
 
     def _learn(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:

@@ -147,3 +147,26 @@ def test_query(spark, plain):
     got = queries.op7_id_files(spark, "/root/testdata/sf0.001").collect()
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == sorted(expected(docs, plain))
+
+
+def test_pieces_together_have_the_ids_they_have_alone():
+    coder = idfiles.Tokens(DEFINITION)
+    assert coder.apart is not None
+    rng = np.random.default_rng(7)
+    # Pieces of any bytes; the last ones have the byte between pieces too, and go one by one.
+    for low, high, n in ((97, 105, 500), (0, 0xC0, 333), (0xC1, 256, 16), (97, 99, 1), (0, 256, 100)):
+        lens = rng.integers(1, 30, n)
+        buf = rng.integers(low, high, lens.sum(), dtype=np.uint8)
+        starts = np.cumsum(lens) - lens
+        alone = [[t.id for t in coder.tokenizer.model.tokenize(buf[a : a + k].tobytes().decode("latin-1").translate(coder.chars))] for a, k in zip(starts, lens, strict=True)]
+        ids, counts = coder._words(buf, starts, lens)
+        assert counts.tolist() == [len(a) for a in alone] and ids.tolist() == [i for a in alone for i in a]
+
+
+def test_a_hit_takes_one_share_of_the_range(monkeypatch):
+    """The coder narrows the range once for an id's context and bucket, and once for its open bits if there are any."""
+    calls = []
+    put = C._Encoder.put
+    monkeypatch.setattr(C._Encoder, "put", lambda self, *a: (calls.append(1), put(self, *a))[1])
+    back(np.random.default_rng(8).integers(0, 3000, 1000), 100)
+    assert len(calls) == 100
